@@ -19,8 +19,8 @@ from clickweave.operators import events as ops
 from clickweave.operators import messages as msg
 from clickweave.operators import sessions, windows
 from clickweave.plans import layers, reports, serving
-from clickweave.session import scratch_dir, streaming_session
-from clickweave.sinks.lake import Lake, hour_range
+from clickweave.session import materialize, scratch_dir, streaming_session
+from clickweave.sinks.lake import DAYS, Lake, hour_range
 from clickweave.sources import activity
 from clickweave.streaming import ingest, metrics
 
@@ -96,6 +96,7 @@ def _layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     delivered = _delivered(spark, sf_dir)
     arrived = F.col("arrived")
     silver = layers.silver_rows(delivered, arrived, arrived).drop("arrived")
+    silver = materialize(silver, "silver")
     _, invalid = msg.split_decoded(msg.decode(_messages(spark, sf_dir)))
     return {
         "bronze": layers.bronze_rows(delivered, arrived),
@@ -497,7 +498,7 @@ def encode_dead_letters(spark, sf_dir):
 
 def _bronze_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """Bronze of the clean log in two batches; only the second has the experiment group."""
-    lake = Lake(scratch_dir(spark, "bronze-lake"))
+    lake = Lake(scratch_dir(spark, "bronze-lake"), DAYS)
     rows = layers.bronze_rows(_events(spark, sf_dir), F.lit(HEALTH_AS_OF))
     change = F.lit(SCHEMA_CHANGE_DAY).cast("timestamp")
     earlier = rows.filter(F.col("event_timestamp") < change).drop("experiment_group")
@@ -576,7 +577,7 @@ def stream_gap_sessions(spark, sf_dir):
 def stream_medallion(spark, sf_dir):
     """All layers through the ingest query, as rows and freshness per layer."""
     base = scratch_dir(spark, "stream-lake")
-    lake = Lake(f"{base}/lake")
+    lake = Lake(f"{base}/lake", DAYS)
     messages = activity.messages(_log_stream(streaming_session(spark), sf_dir))
     ingest.start_ingest(messages, lake, f"{base}/checkpoint", trigger=ONCE).awaitTermination()
     tables = {name: lake.read(spark, name) for name in schemas.TABLES}

@@ -5,7 +5,8 @@ is cut into fixed slices of time. Windows run inside (group, slice), and a summa
 per (group, slice) carries state across slices. The summary of the busiest group has at most one
 row per slice of the time span, so it stays small even when that group holds most of the data.
 
-Each function expects a slice number in `slice_column` that never decreases along `order`.
+Each function reads its input twice, so put a table (`session.materialize`) between chained calls.
+Each expects a slice number in `slice_column` that never decreases along `order`.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweave.functions.time import time_slice
-from clickweave.session import scratch_dir
 
 SLICE = "_slice"
 SLICE_SECONDS = 3600
@@ -26,17 +26,6 @@ def add_slice(
     return rows.withColumn(SLICE, time_slice(F.col(ts), seconds))
 
 
-def materialize(rows: DataFrame, purpose: str) -> DataFrame:
-    """Write the rows to a table in the shared scratch folder and read them back.
-
-    Every ordered operator reads its input twice, so chained ones would read the source 2, 4, 8
-    times; a table in between keeps it at twice per step and survives lost executors.
-    """
-    path = scratch_dir(rows.sparkSession, purpose)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def _carried(rows: DataFrame, summary: DataFrame, on: list[str]) -> DataFrame:
     """Bring the summary columns to the rows; both sides are already split by `on`."""
     return rows.join(summary, on, "left")

@@ -7,21 +7,17 @@ with aggregations that combine before the shuffle, or works on time slices of a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweave import schemas
 from clickweave.functions.measures import count_of
 from clickweave.functions.time import time_slice
 from clickweave.operators import ordered
+from clickweave.session import materialize
 
 ORDER = ["event_timestamp", "event_id"]
-
-
-def _rules(spark: SparkSession, table: dict[str, list[str]], left: str, right: str) -> DataFrame:
-    """A rule table as rows; its size is fixed by this module's constants."""
-    pairs = [(a, b) for a, values in table.items() for b in values]
-    return spark.createDataFrame(pairs, f"{left} string, {right} string")
+SESSION_START = ""
 
 
 def session_rollup(events: DataFrame) -> DataFrame:
@@ -85,15 +81,15 @@ def transition_matrix(events: DataFrame) -> DataFrame:
 
 def illegal_transitions(events: DataFrame) -> DataFrame:
     """Steps the rule table does not allow, and sessions not starting with a page view."""
-    steps = session_steps(events)
-    rules = F.broadcast(
-        _rules(events.sparkSession, schemas.TRANSITIONS, "from_type", "to_type")
+    allowed = [(a, b) for a, following in schemas.TRANSITIONS.items() for b in following]
+    allowed.append((SESSION_START, "page_view"))
+    rules = events.sparkSession.createDataFrame(allowed, "after string, to_type string")
+    steps = session_steps(events).withColumn(
+        "after", F.coalesce("from_type", F.lit(SESSION_START))
     )
-    moved = steps.filter(F.col("from_type").isNotNull()).join(
-        rules, ["from_type", "to_type"], "left_anti"
+    return steps.join(F.broadcast(rules), ["after", "to_type"], "left_anti").select(
+        "session_id", *ORDER, "from_type", "to_type"
     )
-    bad_start = steps.filter(F.col("from_type").isNull() & (F.col("to_type") != "page_view"))
-    return moved.unionByName(bad_start).select("session_id", *ORDER, "from_type", "to_type")
 
 
 CONFORMANCE_RULES = {
@@ -255,7 +251,7 @@ def running_cart(events: DataFrame, slice_seconds: int = ordered.SLICE_SECONDS)
         ),
         seconds=slice_seconds,
     )
-    deep = ordered.materialize(
+    deep = materialize(
         ordered.stack_depth(rows, ["session_id"], ORDER, "step").withColumn(
             "level", F.greatest("depth", "depth_before")
         ),
@@ -265,10 +261,10 @@ def running_cart(events: DataFrame, slice_seconds: int = ordered.SLICE_SECONDS)
     pushed, popped = F.col("step") > 0, (F.col("step") < 0) & (F.col("depth_before") > 0)
 
     def change(name: str, idle: Column) -> Column:
-        taken_back = F.when(popped, -F.col(f"previous.{name}")).otherwise(idle)
+        taken_back = F.when(popped, idle - F.col(f"previous.{name}")).otherwise(idle)
         return F.when(pushed, F.col(name)).otherwise(taken_back)
 
-    changes = ordered.materialize(
+    changes = materialize(
         paired.select(
             "session_id",
             *ORDER,

@@ -16,7 +16,7 @@ from clickweave.operators import events as ops
 from clickweave.operators import messages as msg
 from clickweave.operators import sessions, windows
 from clickweave.plans import layers
-from clickweave.sinks.lake import HOURS, Lake
+from clickweave.sinks.lake import Lake
 
 
 def clean_stream(messages: DataFrame, settings: Settings, as_of: Column | None = None) -> DataFrame:
@@ -87,7 +87,7 @@ def start_gold(
             f"{checkpoint.rstrip('/')}/{table}",
             trigger or settings.trigger,
             f"clickstream_{table}",
-            HOURS,
+            list(lake.partitions),
         )
         for table, rows in tables.items()
     ]

@@ -265,8 +265,13 @@ SELECT user_id, strftime(first_at, '{SECONDS_TEXT}') AS session_start,
        strftime(last_at, '{SECONDS_TEXT}') AS session_end, events
 FROM spans"""
 
-# Windows that ended at least the watermark delay before the newest event.
-CLOSED = "(SELECT max(happened_at) FROM good) - INTERVAL 60 MINUTE"
+
+
+def closed(condition: str = "") -> str:
+    """The time by which a window must have ended: the delay before the newest event kept."""
+    return f"(SELECT max(happened_at) FROM good {condition}) - INTERVAL 60 MINUTE"
+
+
 
 CART = f"""{EVENTS},
 cart AS (
@@ -289,7 +294,7 @@ walked AS (
 ),
 changed AS (
   SELECT c.session_id, c.happened_at, c.event_id, c.event_type, c.i, len(w.stack) AS items,
-         CASE WHEN c.step > 0 THEN c.worth ELSE coalesce(-r.worth, 0.0) END AS amount,
+         CASE WHEN c.step > 0 THEN c.worth ELSE coalesce(0.0 - r.worth, 0.0) END AS amount,
          CASE WHEN c.step > 0 THEN c.pieces ELSE coalesce(-r.pieces, 0) END AS quantity
   FROM walked w JOIN cart c USING (session_id, i)
   LEFT JOIN cart r ON r.session_id = w.session_id AND r.i = w.removed
@@ -571,12 +576,13 @@ SELECT CAST(EXTRACT(day FROM happened_at) AS INTEGER) AS day, event_type, count(
 FROM good GROUP BY 1, 2""",
         "stream_funnel": f"""WITH {EVENTS},
 windows AS ({_funnel('good')}),
-funnel AS ({_rates('windows', 300, f'WHERE w + INTERVAL 5 MINUTE <= {CLOSED}')})
+funnel AS ({_rates('windows', 300, f'WHERE w + INTERVAL 5 MINUTE <= {closed()}')})
 SELECT {ROUNDED_FUNNEL} FROM funnel""",
         "stream_products": f"""WITH {EVENTS}, products AS ({_products('good')})
-SELECT {ROUNDED_REVENUE} FROM products WHERE CAST(window_end AS TIMESTAMP) <= {CLOSED}""",
+SELECT {ROUNDED_REVENUE} FROM products
+WHERE CAST(window_end AS TIMESTAMP) <= {closed("WHERE product_id IS NOT NULL")}""",
         "stream_traffic": f"""WITH {EVENTS}, traffic AS ({_traffic('good')})
-SELECT {ROUNDED_REVENUE} FROM traffic WHERE CAST(window_end AS TIMESTAMP) <= {CLOSED}""",
+SELECT {ROUNDED_REVENUE} FROM traffic WHERE CAST(window_end AS TIMESTAMP) <= {closed()}""",
         "stream_dedup": f"""WITH {DELIVERED}
 SELECT event_id, event_time, event_type, cart_value FROM silver""",
         "stream_gap_sessions": f"""WITH {GAP_SESSIONS}
