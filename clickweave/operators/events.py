@@ -15,9 +15,13 @@ STRICT_FIELDS = ["event_id", "event_time", "user_id", "session_id", "event_type"
 
 
 def parse_event_time(events: DataFrame, keep_fraction: bool = False) -> DataFrame:
-    return events.withColumn(
-        "event_timestamp", time.event_timestamp(F.col("event_time"), keep_fraction)
-    )
+    """Add `event_timestamp`.
+
+    The one-element explode keeps the parse where it is. As a plain column, every later filter
+    and window bound on the time would be pushed down with a parse of its own.
+    """
+    parsed = time.event_timestamp(F.col("event_time"), keep_fraction)
+    return events.select("*", F.explode(F.array(parsed)).alias("event_timestamp"))
 
 
 def add_partition_columns(events: DataFrame) -> DataFrame:

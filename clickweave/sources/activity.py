@@ -67,13 +67,14 @@ def _in(bounds: tuple[int, int]) -> Column:
 
 
 def _base(log: DataFrame) -> DataFrame:
+    # The one-element explode parses `props` once; later filters cannot pull the parse apart.
     return log.select(
         F.col("event_id").alias("n"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("user_id").alias("u"),
         "event_type",
         "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.explode(F.array(F.get_json_object("props", "$.k").cast("int"))).alias("k"),
     ).withColumn(
         "kind",
         F.coalesce(_choose(ACTIVITY_TYPES, F.col("event_type"), _k()), F.col("event_type")),
