@@ -187,7 +187,7 @@ def gap_sessions(
     ts: str = "event_timestamp",
     gap_seconds: int = 1800,
 ) -> DataFrame:
-    """Batch: sessions of a user's events, split where the gap is at least `gap_seconds`.
+    """Batch: sessions of a user's events, split where more than `gap_seconds` pass.
 
     Two events in the same bucket of that length are always in the same session. So events are
     first combined per (user, bucket), and only those few rows are ordered per user.
@@ -203,7 +203,7 @@ def gap_sessions(
     )
     in_order = Window.partitionBy(user).orderBy("bucket")
     idle = F.unix_micros("first_at") - F.unix_micros(F.lag("last_at").over(in_order))
-    starts = F.coalesce(idle >= gap_seconds * 1_000_000, F.lit(True)).cast("int")
+    starts = F.coalesce(idle > gap_seconds * 1_000_000, F.lit(True)).cast("int")
     numbered = buckets.withColumn("starts", starts).withColumn(
         "session_number", F.sum("starts").over(in_order)
     )

@@ -250,7 +250,7 @@ TRENDS = """CASE WHEN previous IS NULL OR previous = 0 THEN 'flat'
 GAP_SESSIONS = f"""
 marked AS (
   SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts)
-                                < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS starts
+                                <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS starts
   FROM events
 ),
 numbered AS (
