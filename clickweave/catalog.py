@@ -365,7 +365,7 @@ def recency_levels(spark, sf_dir):
 
 @query
 def trend(spark, sf_dir):
-    return _comparable(reports.metric_trend(_funnel(spark, sf_dir), "events_per_second"))
+    return _comparable(reports.metric_trends(_funnel(spark, sf_dir)))
 
 
 @query

@@ -15,6 +15,7 @@ STAGES = {
     "Checkout": "checkout_starts",
     "Purchases": "purchases",
 }
+KPIS = ["events_per_second", "sessions", "unique_users", "total_revenue"]
 DAY_SECONDS = 86_400
 
 
@@ -32,18 +33,26 @@ def sparkline(funnel: DataFrame, points: int = 30) -> DataFrame:
     return newest.orderBy("window_start")
 
 
-def metric_trend(funnel: DataFrame, metric: str, inverse_good: bool = False) -> DataFrame:
-    """Every window's metric with the window before it and the direction of change.
+def metric_trends(
+    funnel: DataFrame, metrics: list[str] = KPIS, inverse_good: bool = False
+) -> DataFrame:
+    """Every window's metrics with the window before it and the direction of change.
 
     Windows are ordered within days, and only one row per day is ordered across days.
     """
-    rows = funnel.select("window_start", F.col(metric).alias("current"))
+    entries = F.array(
+        *[
+            F.struct(F.lit(name).alias("metric"), F.col(name).cast("double").alias("current"))
+            for name in metrics
+        ]
+    )
+    rows = funnel.select("window_start", F.inline(entries))
     sliced = ordered.add_slice(
         rows.withColumn("at", F.col("window_start").cast("timestamp")), "at", DAY_SECONDS
     )
-    keyed = sliced.withColumn("series", F.lit(metric))
-    return ordered.previous_row(keyed, ["series"], ["window_start"], ["current"]).select(
+    return ordered.previous_row(sliced, ["metric"], ["window_start"], ["current"]).select(
         "window_start",
+        "metric",
         "current",
         F.col("previous.current").alias("previous"),
         measures.trend(F.col("current"), F.col("previous.current"), inverse_good).alias("trend"),

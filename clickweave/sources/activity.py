@@ -150,7 +150,7 @@ def messages(log: DataFrame) -> DataFrame:
     shaped = _with_event_columns(base, event_id, stated).withColumns(
         {
             "price": F.when(~_in(MISSING_PRICE), F.col("price")),
-            "cart_value": F.when(_in(NEGATIVE_CART), -F.col("cart_value")).otherwise(
+            "cart_value": F.when(_in(NEGATIVE_CART), 0 - F.col("cart_value")).otherwise(
                 F.col("cart_value")
             ),
             "quantity": F.when(_in(ABSURD_QUANTITY), -200).otherwise(F.col("quantity")),

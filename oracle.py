@@ -95,7 +95,7 @@ message AS (
          strftime(happened, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time,
          date_trunc('second', happened) AS happened_at,
          CASE WHEN {_between(activity.MISSING_PRICE)} THEN NULL ELSE value END AS price,
-         CASE WHEN {_between(activity.NEGATIVE_CART)} THEN -value ELSE value END AS cart_value,
+         CASE WHEN {_between(activity.NEGATIVE_CART)} THEN 0 - value ELSE value END AS cart_value,
          CASE WHEN {_between(activity.ABSURD_QUANTITY)} THEN -200 ELSE quantity END AS quantity,
          {_between(activity.TRUNCATED)} AS truncated, * EXCLUDE (n, value, quantity, happened)
   FROM stated
@@ -243,7 +243,7 @@ def _violations(rule: str, left: str, right: str, table: dict[str, list[str]]) -
 
 DAY_15 = "year = 2024 AND month = 1 AND day = 15"
 SECONDS_TEXT = "%Y-%m-%d %H:%M:%S.%f"
-TRENDS = """CASE WHEN previous IS NULL OR previous = 0 THEN 'flat'
+TRENDS = """CASE WHEN current IS NULL OR previous IS NULL OR previous = 0 THEN 'flat'
   WHEN abs((current - previous) / previous) < 0.01 THEN 'flat'
   WHEN (current - previous) / previous > 0 THEN 'up' ELSE 'down' END"""
 
@@ -461,9 +461,15 @@ SELECT layer, rows,
     END AS rate_level
 FROM aged""",
         "trend": f"""WITH {GOLD},
-pairs AS (SELECT window_start, events_per_second AS current,
-                 lag(events_per_second) OVER (ORDER BY window_start) AS previous FROM funnel)
-SELECT window_start, round(current, 6) AS current, round(previous, 6) AS previous,
+kpis AS ("""
+        + " UNION ALL ".join(
+            f"SELECT window_start, '{name}' AS metric, CAST({name} AS DOUBLE) AS current FROM funnel"
+            for name in ("events_per_second", "sessions", "unique_users", "total_revenue")
+        )
+        + f"""),
+pairs AS (SELECT *, lag(current) OVER (PARTITION BY metric ORDER BY window_start) AS previous
+          FROM kpis)
+SELECT window_start, metric, round(current, 6) AS current, round(previous, 6) AS previous,
   {TRENDS} AS trend FROM pairs""",
         "latest_window": f"""WITH {GOLD}
 SELECT {ROUNDED_FUNNEL} FROM (SELECT * FROM funnel ORDER BY window_start DESC LIMIT 1)""",

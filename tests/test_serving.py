@@ -56,7 +56,7 @@ def test_empty_tables_give_empty_results(spark):
         serving.funnel_latest(funnel),
         serving.traffic_timeseries(funnel),
         reports.latest_window(funnel),
-        reports.metric_trend(funnel, "page_views"),
+        reports.metric_trends(funnel),
     ):
         assert rows.count() == 0
 
@@ -125,13 +125,13 @@ def test_health_of_nothing(spark):
 
 
 def test_trend_crosses_days(spark):
-    trend = reports.metric_trend(_gold(spark)["funnel_metrics"], "purchases").orderBy("window_start")
+    trend = reports.metric_trends(_gold(spark)["funnel_metrics"], ["purchases"]).orderBy("window_start")
     assert [(r.current, r.previous, r.trend) for r in trend.collect()] == [
         (1, None, "flat"),
         (1, 1, "flat"),
         (1, 1, "flat"),
     ]
-    trend = reports.metric_trend(_gold(spark)["funnel_metrics"], "total_revenue")
+    trend = reports.metric_trends(_gold(spark)["funnel_metrics"], ["total_revenue"])
     assert [r.trend for r in trend.orderBy("window_start").collect()] == ["flat", "up", "down"]
 
 

@@ -9,7 +9,7 @@ from clickweave.operators import messages as msg
 from clickweave.operators import sessions, windows
 from clickweave.plans import layers, serving
 from clickweave.session import streaming_session
-from clickweave.sinks.lake import Lake
+from clickweave.sinks.lake import DAYS, Lake
 from clickweave.sources.messages import file_batch, file_stream
 from clickweave.streaming import ingest, metrics
 from tests.helpers import event, message, messages_df, rows_of, same
@@ -114,7 +114,7 @@ def test_ingest_fills_every_layer(spark, topic, tmp_path):
 
 
 def test_a_replayed_batch_replaces_itself(spark, topic, tmp_path):
-    lake = Lake(str(tmp_path / "lake"))
+    lake = Lake(str(tmp_path / "lake"), DAYS)
     _ingest(spark, topic, lake, tmp_path)
     stored = {t: rows_of(lake.read(spark, t)) for t in schemas.TABLES}
     write = ingest.write_batch(lake, SETTINGS)
@@ -134,7 +134,7 @@ def test_a_replayed_batch_replaces_itself(spark, topic, tmp_path):
 
 
 def test_restart_continues_where_it_stopped(spark, topic, tmp_path):
-    lake = Lake(str(tmp_path / "lake"))
+    lake = Lake(str(tmp_path / "lake"), DAYS)
     _ingest(spark, topic, lake, tmp_path)
     first = lake.read(spark, "silver").count()
     extra = [message(event("new", 30_200), 999, 30_200), message(event("e3", 60), 1000, 30_201)]
@@ -228,7 +228,7 @@ def test_late_rows(spark, topic):
 
 
 def test_serving_runs_on_the_written_lake(spark, topic, tmp_path):
-    lake = Lake(str(tmp_path / "lake"))
+    lake = Lake(str(tmp_path / "lake"), DAYS)
     _ingest(spark, topic, lake, tmp_path)
     lake.register_views(spark)
     funnel = spark.table("funnel_metrics")
