@@ -5,12 +5,16 @@ is cut into fixed slices of time. Windows run inside (group, slice), and a summa
 per (group, slice) carries state across slices. The summary of the busiest group has at most one
 row per slice of the time span, so it stays small even when that group holds most of the data.
 
-Each function reads its input twice, so put a table (`session.materialize`) between chained calls.
-Each expects a slice number in `slice_column` that never decreases along `order`.
+Each function has two branches over its input, so put a table (`session.materialize`) between
+chained calls. Each expects non-NULL keys, as validated events have them, and a slice number in
+`slice_column` that never decreases along `order`.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,9 +30,14 @@ def add_slice(
     return rows.withColumn(SLICE, time_slice(F.col(ts), seconds))
 
 
+def _placed(rows: DataFrame, within: list[str]) -> DataFrame:
+    """Rows that have a group and a time; stated here, the filter is the same in all branches."""
+    return rows.filter(reduce(and_, [F.col(name).isNotNull() for name in within]))
+
+
 def _carried(rows: DataFrame, summary: DataFrame, on: list[str]) -> DataFrame:
-    """Bring the summary columns to the rows; both sides are already split by `on`."""
-    return rows.join(summary, on, "left")
+    """Bring the summary to the rows; every (group, slice) has one, and `rows` are split by it."""
+    return rows.join(summary, on)
 
 
 def previous_row(
@@ -40,21 +49,28 @@ def previous_row(
 ) -> DataFrame:
     """Add struct `previous` with `values` of the row before in the same group, NULL at the start."""
     within = [*keys, slice_column]
-    packed = F.struct(*values)
-    position = F.struct(*order)
-    last = F.max_by(packed, position).alias("last")
+    rows = _placed(rows, within)
+    here = Window.partitionBy(*within).orderBy(*order)
     across = Window.partitionBy(*keys).orderBy(slice_column)
+    # The last row of each slice, taken in the same order and partitioning as the lags below: both
+    # branches then share one scan and one shuffle if they use the same columns.
     carry = (
-        rows.groupBy(*within)
-        .agg(last)
+        rows.withColumn("following", F.lead(slice_column).over(here))
+        .filter(F.col("following").isNull())
+        .select(*within, F.struct(*values).alias("last"))
         .select(*within, F.lag("last").over(across).alias("carry"))
     )
-    here = Window.partitionBy(*within).orderBy(*order)
-    local = rows.withColumn("local", F.lag(packed).over(here))
+    local = rows.withColumns(
+        {
+            "inside": F.lag(slice_column).over(here),
+            **{f"before_{name}": F.lag(name).over(here) for name in values},
+        }
+    )
+    before = F.struct(*[F.col(f"before_{name}").alias(name) for name in values])
     return (
         _carried(local, carry, within)
-        .withColumn("previous", F.coalesce("local", "carry"))
-        .drop("local", "carry")
+        .withColumn("previous", F.when(F.col("inside").isNotNull(), before).otherwise(F.col("carry")))
+        .drop("carry", "inside", *[f"before_{name}" for name in values])
     )
 
 
@@ -68,6 +84,7 @@ def running_sum(
 ) -> DataFrame:
     """Add the sum of `value` over the group's rows up to and including this one."""
     within = [*keys, slice_column]
+    rows = _placed(rows, within)
     before = (
         Window.partitionBy(*keys)
         .orderBy(slice_column)
@@ -100,6 +117,7 @@ def stack_depth(
     (never above 0). Both carry across slices from the total and the minimum of each slice.
     """
     within = [*keys, slice_column]
+    rows = _placed(rows, within)
     here = Window.partitionBy(*within).orderBy(*order)
     before = (
         Window.partitionBy(*keys)
