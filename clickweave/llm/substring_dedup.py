@@ -111,8 +111,8 @@ def _look_up(rows: list[exchange.Row]) -> Iterator[exchange.Row]:
 
 def _groups(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(keys, kind="stable")
-    starts = runs(keys[order])
-    for start, stop in zip(starts, [*starts[1:], len(keys)], strict=True):
+    bounds = [*runs(keys[order]), len(keys)]
+    for start, stop in itertools.pairwise(bounds):
         yield int(keys[order[start]]), order[start:stop]
 
 
