@@ -22,6 +22,8 @@ from clickweave.llm import exchange
 from clickweave.llm.words import pack, unpack
 
 BATCH = 20_000
+#: Text per chunk: larger chunks repeat fewer words among them.
+CHUNK_BYTES = 16 << 20
 
 
 @cache
@@ -163,6 +165,6 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
     n_parts = exchange.parts(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    replies = exchange.answer(exchange.send(rows, _split(n_parts)), _encode(tokenizer))
+    replies = exchange.answer(exchange.send(rows, _split(n_parts), CHUNK_BYTES), _encode(tokenizer))
     schema = "doc_id bigint, n_tokens bigint, ids binary, decoded string"
     return exchange.collect(replies, _join(tokenizer), schema)

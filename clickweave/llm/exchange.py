@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm.words import chunks
+from clickweave.llm.words import CHUNK_BYTES, chunks
 
 SCHEMA = "part int, chunk bigint, kind int, body binary"
 ARROW = pa.schema(
@@ -36,12 +36,16 @@ def _batch(rows: list[Row]) -> pa.RecordBatch:
     )
 
 
-def send(docs: DataFrame, work: Callable[[int, pa.RecordBatch], Iterator[Row]]) -> DataFrame:
+def send(
+    docs: DataFrame,
+    work: Callable[[int, pa.RecordBatch], Iterator[Row]],
+    chunk_bytes: int = CHUNK_BYTES,
+) -> DataFrame:
     """Run `work(chunk id, rows)` over chunks of `docs` and deal its rows out by part."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
-        for k, piece in enumerate(chunks(batches)):
+        for k, piece in enumerate(chunks(batches, chunk_bytes)):
             yield _batch(list(work(base + k, piece)))
 
     return docs.mapInArrow(task, SCHEMA).repartitionById(parts(docs.sparkSession), F.col("part"))

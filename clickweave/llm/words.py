@@ -93,8 +93,10 @@ class Words:
         return at, mix(total[at] ^ np.uint64(n))
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches into pieces of about CHUNK_BYTES of text; a longer document is a piece by itself."""
+def chunks(
+    batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES, text: str = "text"
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches into pieces of about `size` bytes of text; a longer document is a piece by itself."""
     for batch in batches:
         sizes = np.asarray(
             pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0), np.int64
@@ -103,7 +105,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
         start = 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, base + size, "right")))
             yield batch.slice(start, stop - start)
             start = stop
 
