@@ -3,7 +3,8 @@
 The tokenizer drops white space, so a text's ids are the ids of its words one after the other. A
 chunk of documents is split into its distinct words and, per document, their positions. The words of
 all chunks meet by hash, where each distinct word is encoded once; its ids go back to the chunks and
-are joined to the positions. Words, not occurrences, are shuffled with their ids.
+are joined to the positions. Words, not occurrences, are shuffled with their ids. The input is read
+twice, for words and for positions, since positions then move once.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,36 +48,55 @@ def _pieces(path: str) -> list[bytes]:
     return [(tokenizer.id_to_token(i) or "").encode() for i in range(last + 1)]
 
 
-def _split(n_parts: int):
-    def work(chunk: int, rows: pa.RecordBatch) -> Iterator[exchange.Row]:
-        table: dict[bytes, int] = {}
-        number = table.setdefault
-        counts, seen = [], []
-        for text in rows.column("text").cast(pa.large_binary()).to_pylist():
-            words = (text or b"").split()
-            counts.append(len(words))
-            seen += [number(w, len(table)) for w in words]
-        places = np.array(seen, np.int64)
-        by_use = np.argsort(-np.bincount(places, minlength=len(table)), kind="stable")
-        rank = np.empty(len(table), np.uint32)
-        rank[by_use] = np.arange(len(table))
-        ranked = rank[places]
-        ids = rows.column("doc_id")
-        body = pack(
-            ids.fill_null(0).to_numpy(),
-            ids.is_valid().to_numpy(zero_copy_only=False),
-            np.array(counts, np.uint32),
-            np.array([len(table)], np.uint32),
-            *((ranked >> np.uint32(shift)).astype(np.uint8) for shift in (0, 8, 16, 24)),
-        )
-        yield chunk % n_parts, chunk, 1, body
-        words = list(table)
+def _chunk_id(rows: pa.RecordBatch) -> int:
+    """Both passes over a chunk find the same id, as it follows from the rows."""
+    digest = xxhash.xxh3_64()
+    for array in (rows.column("doc_id"), rows.column("text")):
+        digest.update(np.asarray(pc.fill_null(pc.binary_length(array.cast(pa.string())), -1)))
+        digest.update("".join(filter(None, array.cast(pa.string()).to_pylist())).encode())
+    return digest.intdigest() - (1 << 63)
+
+
+def _distinct(rows: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, list[int]]:
+    """Distinct words, most used first, the rank of every word, and words per document."""
+    table: dict[bytes, int] = {}
+    number = table.setdefault
+    counts, seen = [], []
+    for text in rows.column("text").cast(pa.large_binary()).to_pylist():
+        words = (text or b"").split()
+        counts.append(len(words))
+        seen += [number(w, len(table)) for w in words]
+    places = np.array(seen, np.int64)
+    by_use = np.argsort(-np.bincount(places, minlength=len(table)), kind="stable")
+    rank = np.empty(len(table), np.uint32)
+    rank[by_use] = np.arange(len(table))
+    words = list(table)
+    return [words[w] for w in by_use.tolist()], rank[places], counts
+
+
+def _positions(_: int, rows: pa.RecordBatch) -> Iterator[exchange.Row]:
+    words, ranked, counts = _distinct(rows)
+    ids = rows.column("doc_id")
+    body = pack(
+        ids.fill_null(0).to_numpy(),
+        ids.is_valid().to_numpy(zero_copy_only=False),
+        np.array(counts, np.uint32),
+        np.array([len(words)], np.uint32),
+        *((ranked >> np.uint32(shift)).astype(np.uint8) for shift in (0, 8, 16, 24)),
+    )
+    yield 0, _chunk_id(rows), 1, body
+
+
+def _words(n_parts: int):
+    def work(_: int, rows: pa.RecordBatch) -> Iterator[exchange.Row]:
+        words, _, _ = _distinct(rows)
+        chunk = _chunk_id(rows)
         dealt: list[list[int]] = [[] for _ in range(n_parts)]
-        for r, w in enumerate(by_use.tolist()):
-            dealt[zlib.crc32(words[w]) % n_parts].append(r)
+        for rank, word in enumerate(words):
+            dealt[zlib.crc32(word) % n_parts].append(rank)
         for part, ranks in enumerate(dealt):
             if ranks:
-                joined = b" ".join(words[by_use[r]] for r in ranks)
+                joined = b" ".join([words[r] for r in ranks])
                 steps = np.diff(np.array(ranks, np.uint32), prepend=np.uint32(0))
                 yield part, chunk, 0, pack(steps, np.frombuffer(joined, np.uint8))
 
@@ -165,6 +187,8 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
     n_parts = exchange.parts(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    replies = exchange.answer(exchange.send(rows, _split(n_parts), CHUNK_BYTES), _encode(tokenizer))
+    positions = exchange.mapped(rows, _positions, CHUNK_BYTES)
+    asked = exchange.send(rows, _words(n_parts), CHUNK_BYTES)
+    replies = exchange.answer(asked, _encode(tokenizer), positions)
     schema = "doc_id bigint, n_tokens bigint, ids binary, decoded string"
     return exchange.collect(replies, _join(tokenizer), schema)

@@ -36,25 +36,37 @@ def _batch(rows: list[Row]) -> pa.RecordBatch:
     )
 
 
-def send(
+def mapped(
     docs: DataFrame,
     work: Callable[[int, pa.RecordBatch], Iterator[Row]],
     chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """Run `work(chunk id, rows)` over chunks of `docs` and deal its rows out by part."""
+    """Run `work(chunk id, rows)` over chunks of `docs`."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
         for k, piece in enumerate(chunks(batches, chunk_bytes)):
             yield _batch(list(work(base + k, piece)))
 
-    return docs.mapInArrow(task, SCHEMA).repartitionById(parts(docs.sparkSession), F.col("part"))
+    return docs.mapInArrow(task, SCHEMA)
 
 
-def answer(sent: DataFrame, work: Callable[[list[Row]], Iterator[Row]]) -> DataFrame:
+def send(
+    docs: DataFrame,
+    work: Callable[[int, pa.RecordBatch], Iterator[Row]],
+    chunk_bytes: int = CHUNK_BYTES,
+) -> DataFrame:
+    """Deal the rows that `work` gives for each chunk out by part."""
+    rows = mapped(docs, work, chunk_bytes)
+    return rows.repartitionById(parts(docs.sparkSession), F.col("part"))
+
+
+def answer(
+    sent: DataFrame, work: Callable[[list[Row]], Iterator[Row]], own: DataFrame | None = None
+) -> DataFrame:
     """Run `work` over all rows of a part and bring its replies back together by chunk.
 
-    Rows of a kind other than 0 are passed on.
+    Rows of a kind other than 0 are passed on; `own` has more of them, which need no part.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,22 +80,27 @@ def answer(sent: DataFrame, work: Callable[[list[Row]], Iterator[Row]]) -> DataF
             yield _batch([row])
 
     spark = sent.sparkSession
-    replies = sent.mapInArrow(task, SCHEMA).repartition(parts(spark), "chunk")
+    replies = sent.mapInArrow(task, SCHEMA)
+    if own is not None:
+        replies = replies.unionAll(own)
+    replies = replies.repartition(parts(spark), "chunk")
     return replies.sortWithinPartitions("chunk", F.desc("kind"))
 
 
 def collect(
     replies: DataFrame, work: Callable[[bytes, list[bytes]], pa.RecordBatch], schema: str
 ) -> DataFrame:
-    """Run `work(own row of the chunk, replies)` for every chunk."""
+    """Run `work(own row, replies)` for every chunk, and for each of equal chunks."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in grouped(batches, "chunk"):
             kinds, bodies = rows["kind"], rows["body"]
             own = [b for k, b in zip(kinds, bodies, strict=True) if k != 0]
-            if len(own) != 1:
+            if not own:
                 raise RuntimeError("chunks differ between runs of a task; give a stable input")
-            yield work(own[0], [b for k, b in zip(kinds, bodies, strict=True) if k == 0])
+            replies = [b for k, b in zip(kinds, bodies, strict=True) if k == 0]
+            for body in own:
+                yield work(body, replies)
 
     return replies.mapInArrow(task, schema)
 
