@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import bpe, jaccard_join, quality, secret_scan, substring_dedup
+from clickweave.llm import bpe, jaccard_join, neighbours, quality, secret_scan, shards, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,3 +59,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shards.balanced_shards(_table(spark, sf_dir, "documents"), 8)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
