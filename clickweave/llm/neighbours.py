@@ -26,7 +26,7 @@ from clickweave.llm import exchange
 PROJECTIONS = 64
 THRESHOLD = 45
 #: Half-width of the first windows and its growth per round, in standard deviations of a line.
-FIRST, GROWTH = 0.1, 1.06
+FIRST, GROWTH = 0.1, 1.12
 #: Candidates to verify before a block is left: this many and this share of the block. Vectors
 #: without any structure (64 independent coordinates) need this much for a recall above 0.9.
 ENOUGH, SHARE = 400, 0.2

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import bpe, jaccard_join, neighbours, quality, secret_scan, shards, substring_dedup
+from clickweave.llm import (
+    bpe,
+    jaccard_join,
+    license_scan,
+    materialise,
+    mixing,
+    neighbours,
+    quality,
+    secret_scan,
+    shards,
+    substring_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +90,20 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = _table(spark, sf_dir, "documents")
+    return materialise.write_shards(docs, vocabulary, public_tokenizers.PATTERN).drop("file")
+
+
+@query
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("row")

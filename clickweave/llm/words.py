@@ -75,7 +75,7 @@ class Words:
         if len(starts):
             sums = np.add.reduceat(_BYTES[data] * power[: len(data)], starts)
             self.hashes = mix(sums * inverse[starts])
-        self.starts, self.data = starts, data
+        self.starts, self.bounds = starts, bounds
 
     @property
     def counts(self) -> np.ndarray:
