@@ -40,12 +40,13 @@ def mapped(
     docs: DataFrame,
     work: Callable[[int, pa.RecordBatch], Iterator[Row]],
     chunk_bytes: int = CHUNK_BYTES,
+    column: str = "text",
 ) -> DataFrame:
     """Run `work(chunk id, rows)` over chunks of `docs`."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
-        for k, piece in enumerate(chunks(batches, chunk_bytes)):
+        for k, piece in enumerate(chunks(batches, chunk_bytes, column)):
             yield _batch(list(work(base + k, piece)))
 
     return docs.mapInArrow(task, SCHEMA)
@@ -55,9 +56,10 @@ def send(
     docs: DataFrame,
     work: Callable[[int, pa.RecordBatch], Iterator[Row]],
     chunk_bytes: int = CHUNK_BYTES,
+    column: str = "text",
 ) -> DataFrame:
     """Deal the rows that `work` gives for each chunk out by part."""
-    rows = mapped(docs, work, chunk_bytes)
+    rows = mapped(docs, work, chunk_bytes, column)
     return rows.repartitionById(parts(docs.sparkSession), F.col("part"))
 
 

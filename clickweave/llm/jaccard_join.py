@@ -4,8 +4,9 @@
    occur in other classes too; a packed exchange of 32-bit shingle hashes finds those classes, and
    passages that many otherwise different documents share drop out here. Hash collisions can only
    keep a class too many.
-2. Two linked sets share one of the first n - ceil(0.75 n) + 1 shingles in any fixed order. Classes
-   that share one, directly or through others, form a family.
+2. Two linked sets share one of the first n - ceil(0.75 n) + 1 shingles in any fixed order; rare
+   ones come first here, by a second packed exchange of counts. Classes that share one, directly or
+   through others, form a family.
 3. In each family a DivideSkip search runs over its inverted lists: a set's T - 1 longest lists are
    set aside, the others merged, and every set found is completed by binary probes of the long ones.
    Sets already known to be connected are not compared again, as only components are wanted.
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,8 @@ SHINGLE = 5
 PERCENT = 75
 BLOCK = 4096
 NODES = "doc_id bigint, n_shingles int, class binary, candidate boolean"
-SETS = "class binary, shingles binary, prefix array<bigint>"
+SETS = "class binary, shingles binary"
+PREFIXES = "class binary, prefix array<bigint>"
 
 
 class Sets:
@@ -160,16 +163,87 @@ def _load_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ):
             if key == wanted:
                 shingles = np.sort(sets.hashes[bounds[k] : bounds[k + 1]])
-                prefix = shingles[: _prefix_length(len(shingles))].view(np.int64)
-                out.append((key, shingles.tobytes(), prefix))
-        columns = list(zip(*out, strict=True)) if out else [[], [], []]
-        kinds = (pa.binary(), pa.binary(), pa.list_(pa.int64()))
+                out.append((key, shingles.tobytes()))
+        columns = list(zip(*out, strict=True)) if out else [[], []]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            names=["class", "shingles", "prefix"],
+            [pa.array(c, pa.binary()) for c in columns], names=["class", "shingles"]
         )
 
 
+def _chunk_id(rows: pa.RecordBatch) -> int:
+    keys = b"".join(rows.column("class").to_pylist())
+    return xxhash.xxh3_64_intdigest(keys) - (1 << 63)
+
+
+def _shingles(rows: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column("shingles").to_pylist()), np.uint64)
+
+
+def _ask_counts(n_parts: int):
+    def work(_: int, rows: pa.RecordBatch) -> Iterator[exchange.Row]:
+        distinct, counts = np.unique(_shingles(rows), return_counts=True)
+        for part, picked in exchange.by_part(distinct, n_parts):
+            body = pack(distinct[picked], counts[picked].astype(np.uint32))
+            yield part, _chunk_id(rows), 0, body
+
+    return work
+
+
+def _add_counts(rows: list[exchange.Row]) -> Iterator[exchange.Row]:
+    pieces = [unpack(r[3], np.uint64, np.uint32) for r in rows]
+    if not pieces:
+        return
+    hashes = np.concatenate([p[0] for p in pieces])
+    order = np.argsort(hashes)
+    starts = runs(hashes[order])
+    sums = np.add.reduceat(np.concatenate([p[1] for p in pieces])[order].astype(np.int64), starts)
+    total = np.empty(len(hashes), np.uint32)
+    total[order] = np.repeat(np.minimum(sums, 2**32 - 1), np.diff([*starts, len(hashes)]))
+    at = 0
+    for (part, chunk, _, _), (own, _) in zip(rows, pieces, strict=True):
+        yield part, chunk, 0, pack(np.array([part]), total[at : at + len(own)])
+        at += len(own)
+
+
+def _own_sets(_: int, rows: pa.RecordBatch) -> Iterator[exchange.Row]:
+    keys = np.frombuffer(b"".join(rows.column("class").to_pylist()), np.uint8)
+    sizes = np.array([len(s) // 8 for s in rows.column("shingles").to_pylist()], np.uint32)
+    yield 0, _chunk_id(rows), 1, pack(keys, sizes, _shingles(rows))
+
+
+def _rarest(n_parts: int):
+    def work(own: bytes, replies: list[bytes]) -> pa.RecordBatch:
+        keys, sizes, shingles = unpack(own, np.uint8, np.uint32, np.uint64)
+        distinct, place = np.unique(shingles, return_inverse=True)
+        counts = np.zeros(len(distinct), np.uint32)
+        dealt = dict(exchange.by_part(distinct, n_parts))
+        for reply in replies:
+            part, total = unpack(reply, np.int64, np.uint32)
+            counts[dealt[int(part[0])]] = total
+        mine, ends, out = counts[place], np.cumsum(sizes), []
+        for end, size in zip(ends.tolist(), sizes.tolist(), strict=True):
+            part = slice(end - size, end)
+            rare = np.lexsort((shingles[part], mine[part]))[: _prefix_length(size)]
+            # A shingle of one class alone leads nowhere.
+            out.append(shingles[part][rare][mine[part][rare] > 1].view(np.int64))
+        classes = [keys[k : k + 16].tobytes() for k in range(0, len(keys), 16)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(classes, pa.binary()), pa.array(out, pa.list_(pa.int64()))],
+            names=["class", "prefix"],
+        )
+
+    return work
+
+
+def prefixes(sets: DataFrame) -> DataFrame:
+    """The rarest shingles of each class, as many as a linked class must share one of."""
+    n_parts = exchange.parts(sets.sparkSession)
+    own = exchange.mapped(sets, _own_sets, column="shingles")
+    asked = exchange.send(sets, _ask_counts(n_parts), column="shingles")
+    replies = exchange.answer(asked, _add_counts, own)
+    return exchange.collect(replies, _rarest(n_parts), PREFIXES)
+
+
 def linked(sets: list[np.ndarray]) -> list[int]:
     """For each sorted set of shingles the first set that it is connected to."""
     parent = list(range(len(sets)))
@@ -226,8 +300,10 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def class_links(sets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Edges that connect exactly the classes linked by similarity, from `class`, `shingles`, `prefix`."""
-    tokens = sets.select("class", F.explode("prefix").alias("token"))
+    """Edges that connect exactly the classes linked by similarity, from `class` and `shingles`."""
+    tokens = materialize(prefixes(sets), "prefixes").select(
+        "class", F.explode("prefix").alias("token")
+    )
     hubs = tokens.groupBy("token").agg(F.min("class").alias("hub"), F.max("class").alias("last"))
     edges = tokens.join(hubs.where("hub <> last"), "token").where("class <> hub")
     edges = edges.select(F.col("class").alias("a"), F.col("hub").alias("b"))
