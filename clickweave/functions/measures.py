@@ -30,7 +30,9 @@ def count_of(event_type: Column, *types: str) -> Column:
 
 
 def health_level(value: Column, warn_below: float, error_below: float = 0) -> Column:
-    return F.when(value <= error_below, "red").when(value < warn_below, "yellow").otherwise("green")
+    """red at or below `error_below` and without a value, yellow below `warn_below`, else green."""
+    low = value.isNull() | (value <= error_below)
+    return F.when(low, "red").when(value < warn_below, "yellow").otherwise("green")
 
 
 def recency_level(text: Column, parsed: Column, as_of: Column, max_minutes: int = 5) -> Column:
@@ -60,5 +62,11 @@ def trend(current: Column, previous: Column, inverse_good: bool = False) -> Colu
 
 
 def conversion_band(percent: Column) -> Column:
-    """Gauge band of a conversion percentage."""
-    return F.when(percent < 5, "0-5").when(percent < 10, "5-10").otherwise("10-20")
+    """Gauge band of a conversion percentage; the gauge ends at 20, the rate does not."""
+    return (
+        F.when(percent.isNull(), "unknown")
+        .when(percent < 5, "0-5")
+        .when(percent < 10, "5-10")
+        .when(percent <= 20, "10-20")
+        .otherwise("20+")
+    )

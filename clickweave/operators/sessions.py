@@ -160,7 +160,8 @@ def session_flags(events: DataFrame) -> DataFrame:
     Sessions are summarised by a combining aggregation and joined back; if one session holds
     many rows, adaptive execution splits its side of the join.
     """
-    position = F.struct(*ORDER)
+    # Events without a readable time have no place in the order: never first, last or numbered.
+    position = F.when(F.col("event_timestamp").isNotNull(), F.struct(*ORDER))
     sessions = (
         events.groupBy("session_id")
         .agg(
@@ -171,11 +172,14 @@ def session_flags(events: DataFrame) -> DataFrame:
         )
         .withColumn("started_at", F.col("first.event_timestamp"))
     )
-    numbered = _session_numbers(sessions).drop("user_id", "started_at")
+    numbers = _session_numbers(sessions.filter(F.col("started_at").isNotNull()))
+    numbered = sessions.drop("user_id", "started_at").join(
+        numbers.select("session_id", "session_number"), "session_id", "left"
+    )
     return events.join(numbered, "session_id").select(
         *[F.col(c) for c in events.columns if c != "is_bounce"],
-        (F.col("event_id") == F.col("first.event_id")).alias("is_entry"),
-        (F.col("event_id") == F.col("last.event_id")).alias("is_exit"),
+        F.coalesce(F.col("event_id") == F.col("first.event_id"), F.lit(False)).alias("is_entry"),
+        F.coalesce(F.col("event_id") == F.col("last.event_id"), F.lit(False)).alias("is_exit"),
         (F.col("n") == 1).alias("is_bounce"),
         "session_number",
     )

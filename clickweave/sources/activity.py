@@ -86,7 +86,7 @@ def _with_event_columns(base: DataFrame, event_id: Column, ts: Column) -> DataFr
     about_product = kind.isin(PRODUCT_TYPES)
     campaigns = [c for group in schemas.SOURCE_CAMPAIGNS.values() for c in group]
     systems = ["iOS", "Android", "Windows", "macOS", "Linux"]
-    user_id = F.concat(F.lit("user_"), F.lpad(user.cast("string"), 6, "0"))
+    user_id = F.when(user.isNotNull(), F.format_string("user_%06d", user.cast("long")))
     return base.withColumns(
         {
             "event_id": event_id,

@@ -7,9 +7,12 @@ takes in late events; run one of the two for a lake, not both.
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from clickweave.config import Settings
 from clickweave.operators import events as ops
@@ -103,9 +106,34 @@ def late_rows(events: DataFrame, arrived: Column, watermark: str = "60 minutes")
 
 
 def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows the query's stateful operators dropped so far for being behind the watermark."""
+    """Rows dropped behind the watermark in the recent progress reports, of which Spark keeps few.
+
+    For all of a long-running query add a `DroppedRows` listener before it starts.
+    """
     return sum(
         int(operator["numRowsDroppedByWatermark"])
         for progress in query.recentProgress
         for operator in progress["stateOperators"]
     )
+
+
+class DroppedRows(StreamingQueryListener):
+    """Counts rows dropped behind the watermark per query id, over all its batches."""
+
+    def __init__(self) -> None:
+        self.total: dict[str, int] = defaultdict(int)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.total[str(progress.id)] += sum(
+            operator.numRowsDroppedByWatermark for operator in progress.stateOperators
+        )
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

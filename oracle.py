@@ -45,7 +45,7 @@ typed AS (
 ),
 shaped AS (
   SELECT n, u, k, ts, value, kind AS event_type,
-    'user_' || lpad(CAST(u AS VARCHAR), 6, '0') AS user_id,
+    printf('user_%06d', u) AS user_id,
     'sess_' || CAST(u AS VARCHAR) || '_' || strftime(ts, '%Y%m%d') AS session_id,
     CASE kind {PAGE_CASES} ELSE '/' END AS page,
     CASE WHEN kind IN {PRODUCT_TYPES}
@@ -506,8 +506,9 @@ sources AS (SELECT traffic_source, CAST(sum(visits) AS BIGINT) AS total_visits F
 SELECT traffic_source, total_visits,
   round(total_visits / CAST(sum(total_visits) OVER () AS BIGINT), 6) AS share FROM sources""",
         "conversion_band": f"""WITH {GOLD}
-SELECT CASE WHEN conversion_rate * 100 < 5 THEN '0-5' WHEN conversion_rate * 100 < 10 THEN '5-10'
-            ELSE '10-20' END AS band, count(*) AS windows FROM funnel GROUP BY 1""",
+SELECT CASE WHEN conversion_rate IS NULL THEN 'unknown' WHEN conversion_rate * 100 < 5 THEN '0-5'
+            WHEN conversion_rate * 100 < 10 THEN '5-10' WHEN conversion_rate * 100 <= 20 THEN '10-20'
+            ELSE '20+' END AS band, count(*) AS windows FROM funnel GROUP BY 1""",
         "health_levels": f"""WITH {GOLD}
 SELECT CASE WHEN events_per_second <= 0 THEN 'red' WHEN events_per_second < 0.01 THEN 'yellow'
             ELSE 'green' END AS level, count(*) AS windows FROM funnel GROUP BY 1""",

@@ -67,8 +67,9 @@ def test_ratio_guards_the_denominator(spark):
 
 
 def test_health_level(spark):
-    levels = _map(spark, [-1.0, 0.0, 0.5, 1.0], "double", lambda c: measures.health_level(c, 1.0))
-    assert levels == ["red", "red", "yellow", "green"]
+    values = [-1.0, 0.0, 0.5, 1.0, None]
+    levels = _map(spark, values, "double", lambda c: measures.health_level(c, 1.0))
+    assert levels == ["red", "red", "yellow", "green", "red"]
 
 
 def test_recency_level(spark):
@@ -97,6 +98,6 @@ def test_trend(spark, inverse):
 
 
 def test_conversion_band(spark):
-    values = [0.0, 4.99, 5.0, 9.99, 10.0, 20.0]
+    values = [0.0, 4.99, 5.0, 9.99, 10.0, 20.0, 20.1, 300.0, None]
     bands = _map(spark, values, "double", measures.conversion_band)
-    assert bands == ["0-5", "0-5", "5-10", "5-10", "10-20", "10-20"]
+    assert bands == ["0-5", "0-5", "5-10", "5-10", "10-20", "10-20", "20+", "20+", "unknown"]

@@ -174,8 +174,8 @@ def test_dimension_violations(spark):
         event("4", event_type="search", page="/"),
     ]
     assert rows_of(sessions.dimension_violations(silver_df(spark, rows))) == [
-        ("device_system", "mobile", "Windows", 2),
-        ("source_campaign", "direct", "newsletter", 1),
+        ("device_system", "tablet", "Windows", 2),
+        ("source_campaign", "referral", "newsletter", 1),
         ("type_page", "search", "/", 1),
     ]
 

@@ -115,9 +115,9 @@ def test_ingest_fills_every_layer(spark, topic, tmp_path):
 
 def test_a_replayed_batch_replaces_itself(spark, topic, tmp_path):
     lake = Lake(str(tmp_path / "lake"), DAYS)
-    _ingest(spark, topic, lake, tmp_path)
+    query = _ingest(spark, topic, lake, tmp_path)
     stored = {t: rows_of(lake.read(spark, t)) for t in schemas.TABLES}
-    write = ingest.write_batch(lake, SETTINGS)
+    write = ingest.write_batch(lake, SETTINGS, query_id=str(query.id))
     for batch_id, rows in enumerate(_batches()):
         stamped = spark.createDataFrame(rows, schemas.MESSAGE).withColumn(
             "ingested_at", F.current_timestamp()
@@ -242,3 +242,44 @@ def test_settings_read_the_environment():
     assert (settings.window, settings.topic) == ("10 minutes", "t")
     assert settings.watermark == "60 minutes"
     assert Settings.from_env({}).trigger == {"processingTime": "10 seconds"}
+
+
+def _write(spark, lake, batches, query_id):
+    """Run batches of (offset, (payload, minutes until arrival)) through the ingest function."""
+    write = ingest.write_batch(lake, SETTINGS, query_id=query_id)
+    for batch_id, rows in enumerate(batches):
+        arrived = [message(payload, n, 60 * m) for n, (payload, m) in rows]
+        batch = spark.createDataFrame(arrived, schemas.MESSAGE)
+        write(msg.decode(batch.withColumn("ingested_at", F.current_timestamp())), batch_id)
+
+
+def test_another_query_or_checkpoint_keeps_what_is_stored(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"), DAYS)
+    first = [[(n, (event(f"a{n}", n), 1)) for n in range(5)]]
+    second = [[(n, (event(f"b{n}", n), 2)) for n in range(3)]]
+    _write(spark, lake, first, "one")
+    _write(spark, lake, second, "two")
+    _write(spark, lake, second, "two")
+    for table in ("bronze", "silver"):
+        ids = rows_of(lake.read(spark, table), "event_id")
+        assert ids == [(f"a{n}",) for n in range(5)] + [(f"b{n}",) for n in range(3)]
+
+
+def test_an_id_is_stored_once_whatever_time_its_copies_state(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"), DAYS)
+    day = 24 * 60
+    copies = [
+        [(0, (event("x", 0), 1))],
+        [(1, (event("x", 86_400), day + 1)), (2, (event("y", 86_400), day + 1))],
+    ]
+    _write(spark, lake, copies, "q")
+    assert rows_of(lake.read(spark, "silver"), "event_id") == [("x",), ("y",)]
+    assert rows_of(lake.read(spark, "bronze"), "event_id") == [("x",), ("x",), ("y",)]
+
+
+def test_a_late_event_delivered_twice_is_listed_once(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"), DAYS)
+    late = [[(0, (event("late", 0), 180))], [(1, (event("late", 0), 190))]]
+    _write(spark, lake, late, "q")
+    assert rows_of(lake.read(spark, "late_events"), "event_id") == [("late",)]
+    assert rows_of(lake.read(spark, "silver"), "event_id") == [("late",)]

@@ -76,7 +76,7 @@ def test_traffic_by_hand(spark):
         "conversion_rate",
     ) == [
         ("2024-03-01 10:00:00", "desktop", 2, 1, 0, None, 0.0),
-        ("2024-03-01 10:00:00", "mobile", 7, 1, 1, 80.0, 1 / 7),
+        ("2024-03-01 10:00:00", "tablet", 7, 1, 1, 80.0, 1 / 7),
         ("2024-03-01 10:05:00", "desktop", 1, 1, 0, None, 0.0),
     ]
 
