@@ -26,7 +26,7 @@ from clickweave.llm.words import pack, unpack
 
 BATCH = 20_000
 #: Text per chunk: larger chunks repeat fewer words among them.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 
 @cache
