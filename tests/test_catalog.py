@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+import oracle
 from clickweave.catalog import QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -29,7 +30,8 @@ def _rows(columns, rows):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(oracle.statements())
+    assert set(QUERIES) <= set(contract.queries()) and set(QUERIES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
