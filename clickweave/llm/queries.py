@@ -107,3 +107,25 @@ def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("row")
+
+
+ORACLE_SQL["op6_substring_dedup"] = r"""
+WITH split AS (
+  SELECT doc_id, [w for w in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if w <> ''] AS words
+  FROM documents
+),
+windows AS (
+  SELECT doc_id, i, words[i : i + 12] AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM split)
+),
+earliest AS (SELECT run, min(doc_id) AS first_doc FROM windows GROUP BY run),
+found AS (
+  SELECT doc_id, i FROM windows JOIN earliest USING (run) WHERE first_doc < doc_id
+),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM found),
+removed AS (SELECT doc_id, count(*) AS n, list(i) AS places FROM covered GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(CASE WHEN n IS NULL THEN words ELSE
+    [words[k] for k in range(1, len(words) + 1) if NOT list_contains(places, k)] END, ' '), '')) AS kept_sha256
+FROM split LEFT JOIN removed USING (doc_id)
+"""
