@@ -129,3 +129,39 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIG
     [words[k] for k in range(1, len(words) + 1) if NOT list_contains(places, k)] END, ' '), '')) AS kept_sha256
 FROM split LEFT JOIN removed USING (doc_id)
 """
+
+ORACLE_SQL["op7_jaccard_join"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, [w for w in regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+') if w <> ''] AS words
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(words) BETWEEN 1 AND 4 THEN [words]
+    ELSE [words[i : i + 4] for i in range(1, len(words) - 3)] END)) AS shingles
+  FROM split
+),
+classes AS (
+  SELECT row_number() OVER () AS class, shingles, len(shingles) AS size, min(doc_id) AS first_id
+  FROM sets WHERE len(shingles) > 0 GROUP BY shingles
+),
+items AS (SELECT class, size, unnest(shingles) AS shingle FROM classes),
+links AS (
+  SELECT a.class AS one, b.class AS other
+  FROM items a JOIN items b ON a.shingle = b.shingle AND a.class <> b.class
+  GROUP BY a.class, b.class
+  HAVING 100 * count(*) >= 75 * (any_value(a.size) + any_value(b.size) - count(*))
+),
+reached AS (
+  SELECT class AS start, class AS class FROM classes
+  UNION
+  SELECT start, other FROM reached JOIN links ON class = one
+),
+labelled AS (
+  SELECT start, min(first_id) AS component_id FROM reached JOIN classes USING (class) GROUP BY start
+)
+SELECT doc_id, CAST(len(sets.shingles) AS BIGINT) AS n_shingles,
+  coalesce(component_id, doc_id) AS component_id
+FROM sets LEFT JOIN classes ON sets.shingles = classes.shingles LEFT JOIN labelled ON class = start
+"""

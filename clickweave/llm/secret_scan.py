@@ -111,10 +111,11 @@ def scan(docs: DataFrame, vocabulary: str, pattern: str, max_ratio: float = MAX_
 def redact(docs: DataFrame, vocabulary: str, pattern: str, mask: str = "[secret]") -> DataFrame:
     """The documents with every span found replaced by a mask; columns and rows stay as they are.
 
-    Overlapping spans are masked together. `n_chars`, where present, follows the new text. Null
-    text stays null.
+    Overlapping spans are masked together. `n_chars`, where present as a whole number, follows the
+    new text. Null text stays null.
     """
     columns = docs.columns
+    counted = dict(docs.dtypes).get("n_chars") in ("int", "bigint")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(vocabulary, pattern)
@@ -129,7 +130,7 @@ def redact(docs: DataFrame, vocabulary: str, pattern: str, mask: str = "[secret]
                 texts.append("".join([*parts, text[at:]]) if parts else text)
             arrays = dict(zip(columns, batch.columns, strict=True))
             arrays["text"] = pa.array(texts, pa.string())
-            if "n_chars" in arrays:
+            if counted:
                 lengths = pa.array([None if t is None else len(t) for t in texts])
                 kept = pa.compute.if_else(arrays["n_chars"].is_null(), None, lengths)
                 arrays["n_chars"] = kept.cast(arrays["n_chars"].type)

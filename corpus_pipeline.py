@@ -24,12 +24,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Documents without id stay, as nothing is known of their groups.
     """
-    columns = docs.columns
     groups = jaccard_join.near_duplicates(docs)
-    first = groups.where("component_id = doc_id").select(F.col("doc_id").alias("first_id")).distinct()
-    kept = docs.join(first, docs["doc_id"] == first["first_id"], "left_semi")
-    kept = kept.withColumn("text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "text_key"])
-    return kept.select(*columns).unionAll(docs.where(F.col("doc_id").isNull()))
+    first = groups.where("component_id = doc_id").select("doc_id").distinct()
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.struct("*").alias("row"))
+    kept = rows.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text_key"])
+    return kept.select("row.*").unionAll(docs.where(F.col("doc_id").isNull()))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -256,6 +256,12 @@ def test_redaction(docs):
     assert out.where(f"doc_id = {at}").first()["text"] == '[secret]"'
 
 
+def test_redaction_leaves_other_counts_alone(spark):
+    docs = spark.createDataFrame([(1, SECRET, "many")], "doc_id bigint, text string, n_chars string")
+    row = secret_scan.redact(docs, VOCABULARY, public_tokenizers.PATTERN).first()
+    assert row["n_chars"] == "many" and "[secret]" in row["text"]
+
+
 def test_bpe(stored, empty):
     from tokenizers import Tokenizer
 
@@ -383,3 +389,14 @@ def test_pipeline_stages(spark, stored, labels, tmp_path):
             assert kept.where("doc_id is not null").count() == groups.select("component_id").distinct().count()
         docs = kept
     assert docs.columns == ["doc_id", "n_tokens", "ids"]
+
+
+def test_near_duplicate_stage_keeps_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, 7, "a", "x"), (2, text, 8, "b", "y"), (3, "other", 9, None, None), (None, text, 1, "c", "z")]
+    docs = spark.createDataFrame(
+        rows, "doc_id bigint, text string, first_id int, text_key string, row string"
+    )
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[0], *rows[2:]], key=repr)
