@@ -365,7 +365,8 @@ def recency_levels(spark, sf_dir):
 
 @query
 def trend(spark, sf_dir):
-    return _comparable(reports.metric_trends(_funnel(spark, sf_dir)))
+    # Both branches of the ordered lag read the windows from a table.
+    return _comparable(reports.metric_trends(materialize(_funnel(spark, sf_dir), "funnel")))
 
 
 @query

@@ -12,14 +12,22 @@ from pyspark.sql import functions as F
 
 from clickweave import schemas
 from clickweave.functions.measures import count_of
-from clickweave.functions.time import time_slice
+from clickweave.functions.time import event_timestamp, time_slice
 from clickweave.operators import ordered
 from clickweave.session import materialize
 
-ORDER = ["event_timestamp", "event_id"]
+INSTANT = "_instant"
+ORDER = [INSTANT, "event_id"]
+PLACE = ["event_timestamp", "event_id"]
 SESSION_START = ""
 
 
+def add_instant(events: DataFrame) -> DataFrame:
+    """Add the stated time with its fraction: it orders events that `event_timestamp` cuts alike."""
+    exact = event_timestamp(F.col("event_time"), keep_fraction=True)
+    return events.withColumn(INSTANT, F.coalesce(exact, F.col("event_timestamp")))
+
+
 def session_rollup(events: DataFrame) -> DataFrame:
     """One row per session: span, depth, searches, purchase, distinct pages and products.
 
@@ -27,7 +35,7 @@ def session_rollup(events: DataFrame) -> DataFrame:
     """
     kind = F.col("event_type")
     position = F.struct(*ORDER)
-    return events.groupBy("session_id").agg(
+    return add_instant(events).groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
         F.min("event_timestamp").alias("started_at"),
         F.max("event_timestamp").alias("ended_at"),
@@ -55,22 +63,29 @@ def session_items(events: DataFrame, item: str) -> DataFrame:
     )
 
 
-def session_steps(events: DataFrame) -> DataFrame:
+def session_steps(
+    events: DataFrame, slice_seconds: int = ordered.SLICE_SECONDS
+) -> DataFrame:
     """Each event with the type of the event before it in its session (NULL for the first)."""
-    rows = ordered.add_slice(events.select("session_id", *ORDER, "event_type"))
+    rows = ordered.add_slice(
+        add_instant(events).select("session_id", INSTANT, *PLACE, "event_type"),
+        seconds=slice_seconds,
+    )
     stepped = ordered.previous_row(rows, ["session_id"], ORDER, ["event_type"])
     return stepped.select(
         "session_id",
-        *ORDER,
+        *PLACE,
         F.col("previous.event_type").alias("from_type"),
         F.col("event_type").alias("to_type"),
     )
 
 
-def transition_matrix(events: DataFrame) -> DataFrame:
+def transition_matrix(
+    events: DataFrame, slice_seconds: int = ordered.SLICE_SECONDS
+) -> DataFrame:
     """How often each type follows each other type, and with what probability."""
     counts = (
-        session_steps(events)
+        session_steps(events, slice_seconds)
         .filter(F.col("from_type").isNotNull())
         .groupBy("from_type", "to_type")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -79,16 +94,18 @@ def transition_matrix(events: DataFrame) -> DataFrame:
     return counts.withColumn("probability", F.col("n") / whole)
 
 
-def illegal_transitions(events: DataFrame) -> DataFrame:
+def illegal_transitions(
+    events: DataFrame, slice_seconds: int = ordered.SLICE_SECONDS
+) -> DataFrame:
     """Steps the rule table does not allow, and sessions not starting with a page view."""
     allowed = [(a, b) for a, following in schemas.TRANSITIONS.items() for b in following]
     allowed.append((SESSION_START, "page_view"))
     rules = events.sparkSession.createDataFrame(allowed, "after string, to_type string")
-    steps = session_steps(events).withColumn(
+    steps = session_steps(events, slice_seconds).withColumn(
         "after", F.coalesce("from_type", F.lit(SESSION_START))
     )
     return steps.join(F.broadcast(rules), ["after", "to_type"], "left_anti").select(
-        "session_id", *ORDER, "from_type", "to_type"
+        "session_id", *PLACE, "from_type", "to_type"
     )
 
 
@@ -157,21 +174,24 @@ def _session_numbers(sessions: DataFrame) -> DataFrame:
 def session_flags(events: DataFrame) -> DataFrame:
     """Mark each event as its session's entry or exit, with bounce flag and session number.
 
-    Sessions are summarised by a combining aggregation and joined back; if one session holds
-    many rows, adaptive execution splits its side of the join.
+    Sessions are summarised once, by a combining aggregation into a scratch table that is written
+    while this plan is built, and joined back; if one session holds many rows, adaptive execution
+    splits its side of the join.
     """
     # Events without a readable time have no place in the order: never first, last or numbered.
-    position = F.when(F.col("event_timestamp").isNotNull(), F.struct(*ORDER))
-    sessions = (
-        events.groupBy("session_id")
+    position = F.when(F.col(INSTANT).isNotNull(), F.struct(*ORDER))
+    summary = (
+        add_instant(events)
+        .groupBy("session_id")
         .agg(
             F.min("user_id").alias("user_id"),
             F.min(position).alias("first"),
             F.max(position).alias("last"),
             F.count(F.lit(1)).alias("n"),
         )
-        .withColumn("started_at", F.col("first.event_timestamp"))
+        .withColumn("started_at", F.col(f"first.{INSTANT}"))
     )
+    sessions = materialize(summary, "sessions")
     numbers = _session_numbers(sessions.filter(F.col("started_at").isNotNull()))
     numbered = sessions.drop("user_id", "started_at").join(
         numbers.select("session_id", "session_number"), "session_id", "left"
@@ -245,9 +265,10 @@ def running_cart(events: DataFrame, slice_seconds: int = ordered.SLICE_SECONDS)
     """
     pushes = F.col("event_type").isin("add_to_cart", "purchase")
     rows = ordered.add_slice(
-        events.filter(pushes | (F.col("event_type") == "remove_from_cart")).select(
+        add_instant(events.filter(pushes | (F.col("event_type") == "remove_from_cart"))).select(
             "session_id",
-            *ORDER,
+            INSTANT,
+            *PLACE,
             "event_type",
             F.when(pushes, 1).otherwise(-1).alias("step"),
             F.when(pushes, F.col("price") * F.col("quantity")).alias("amount"),
@@ -271,7 +292,8 @@ def running_cart(events: DataFrame, slice_seconds: int = ordered.SLICE_SECONDS)
     changes = materialize(
         paired.select(
             "session_id",
-            *ORDER,
+            INSTANT,
+            *PLACE,
             "event_type",
             ordered.SLICE,
             change("amount", F.lit(0.0)).alias("amount"),
@@ -282,5 +304,5 @@ def running_cart(events: DataFrame, slice_seconds: int = ordered.SLICE_SECONDS)
     )
     return ordered.running_sum(
         changes, ["session_id"], ORDER, F.col("amount"), "cart_value"
-    ).drop(ordered.SLICE)
+    ).drop(ordered.SLICE, INSTANT)
 

@@ -1,9 +1,105 @@
-"""The catalog's queries as plain SQL for DuckDB, written independently of the Spark plans."""
+"""The catalog's queries as plain SQL for DuckDB, written independently of the package."""
 
 from __future__ import annotations
 
-from clickweave import schemas
-from clickweave.sources import activity
+# Fixed values, stated here a second time so that a wrong table in the package shows.
+FIELDS = [
+    "event_id", "event_time", "user_id", "session_id", "event_type", "page", "product_id",
+    "category", "device", "browser", "operating_system", "country", "city", "traffic_source",
+    "campaign", "referrer", "price", "quantity", "cart_value", "currency", "experiment_group",
+    "is_logged_in",
+]
+EVENT_TYPES = [
+    "page_view", "search", "category_view", "product_view", "add_to_cart", "remove_from_cart",
+    "begin_checkout", "payment", "purchase", "logout",
+]
+TRANSITIONS = {
+    "page_view": ["search", "category_view", "product_view", "page_view"],
+    "search": ["product_view", "category_view", "page_view"],
+    "category_view": ["product_view", "search", "page_view"],
+    "product_view": ["add_to_cart", "product_view", "category_view", "page_view"],
+    "add_to_cart": ["product_view", "remove_from_cart", "begin_checkout", "page_view"],
+    "remove_from_cart": ["product_view", "add_to_cart", "begin_checkout", "page_view"],
+    "begin_checkout": ["payment", "page_view", "add_to_cart"],
+    "payment": ["purchase", "page_view"],
+    "purchase": ["logout", "page_view"],
+    "logout": [],
+}
+DEVICE_SYSTEMS = {
+    "mobile": ["iOS", "Android"],
+    "desktop": ["Windows", "macOS", "Linux"],
+    "tablet": ["iOS", "Android"],
+}
+SOURCE_CAMPAIGNS = {
+    "direct": ["organic", "direct"],
+    "organic_search": ["organic_seo", "brand_search", "generic_search"],
+    "paid_search": ["google_ads", "bing_ads", "shopping_campaign"],
+    "social_media": ["instagram_campaign", "facebook_ads", "tiktok_promo", "twitter_ad"],
+    "email": ["newsletter", "promo_email", "abandoned_cart", "welcome_series"],
+    "referral": ["blog_referral", "partner_link", "review_site"],
+}
+TYPE_PAGES = {
+    "page_view": ["/", "/products", "/categories", "/sale", "/new-arrivals", "/deals"],
+    "search": ["/search"],
+    "category_view": [
+        "/category/electronics", "/category/clothing", "/category/home_garden", "/category/sports",
+        "/category/books",
+    ],
+    "product_view": ["/product/"],
+    "add_to_cart": ["/product/"],
+    "remove_from_cart": ["/cart"],
+    "begin_checkout": ["/checkout"],
+    "payment": ["/checkout/payment"],
+    "purchase": ["/checkout/confirmation"],
+    "logout": ["/logout"],
+}
+CATEGORIES = [
+    "electronics", "clothing", "home_garden", "books", "sports", "beauty", "toys", "groceries",
+    "automotive", "office",
+]
+PLACES = [
+    ("United States", "New York"), ("United States", "San Francisco"), ("United States", "Chicago"),
+    ("United Kingdom", "London"), ("Germany", "Berlin"), ("France", "Paris"), ("Canada", "Toronto"),
+    ("Australia", "Sydney"), ("India", "Mumbai"), ("Brazil", "São Paulo"), ("Japan", "Tokyo"),
+]
+DEVICES = ["mobile", "desktop", "tablet"]
+BROWSERS = ["Chrome", "Safari", "Firefox", "Edge"]
+EXPERIMENT_GROUPS = ["control", "variant_a", "variant_b"]
+REFERRERS = ["google.com", "facebook.com", "direct", "email.com", "twitter.com"]
+TIME_PARTS = ["year", "month", "day", "hour"]
+# How the activity log becomes events; inclusive ranges of k have a delivery fault.
+ACTIVITY_TYPES = {
+    "view": ["page_view", "product_view"],
+    "click": ["search", "category_view", "add_to_cart", "remove_from_cart", "begin_checkout"],
+    "signup": ["payment", "logout"],
+    "purchase": ["purchase"],
+}
+ABOUT_PRODUCTS = ["product_view", "add_to_cart", "remove_from_cart", "purchase"]
+LOG_PAGES = {
+    "page_view": ["/", "/products", "/categories", "/sale", "/new-arrivals", "/deals"],
+    "search": ["/search"],
+    "category_view": [
+        "/category/electronics", "/category/clothing", "/category/home_garden", "/category/books",
+        "/category/sports", "/category/beauty", "/category/toys", "/category/groceries",
+        "/category/automotive", "/category/office",
+    ],
+    "product_view": ["/product/"],
+    "add_to_cart": ["/product/"],
+    "remove_from_cart": ["/cart"],
+    "begin_checkout": ["/checkout"],
+    "payment": ["/checkout/payment"],
+    "purchase": ["/checkout/confirmation"],
+    "logout": ["/logout"],
+}
+DELIVERED_TWICE = (50, 54)
+TEN_DAYS_OLD = (60, 61)
+THREE_HOURS_OLD = (62, 63)
+NEGATIVE_CART = (70, 74)
+MISSING_PRICE = (80, 84)
+ABSURD_QUANTITY = (85, 87)
+TRUNCATED = (90, 91)
+EMPTY_ID = (92, 93)
+TRUNCATED_LENGTH = 40
 
 
 def _list(values: list[str]) -> str:
@@ -22,17 +118,16 @@ def _between(bounds: tuple[int, int]) -> str:
     return f"k BETWEEN {bounds[0]} AND {bounds[1]}"
 
 
-FIELDS = schemas.EVENT.fieldNames()
 COLUMNS = ", ".join(FIELDS)
-TYPES = _in_list(schemas.EVENT_TYPES)
-CAMPAIGNS = [c for group in schemas.SOURCE_CAMPAIGNS.values() for c in group]
+TYPES = _in_list(EVENT_TYPES)
+CAMPAIGNS = [c for group in SOURCE_CAMPAIGNS.values() for c in group]
 PAGE_CASES = " ".join(
-    f"WHEN '{kind}' THEN {_at(pages, 'k')}" for kind, pages in activity.PAGES.items()
+    f"WHEN '{kind}' THEN {_at(pages, 'k')}" for kind, pages in LOG_PAGES.items()
 )
 ACTIVITY_CASES = " ".join(
-    f"WHEN '{name}' THEN {_at(types, 'k')}" for name, types in activity.ACTIVITY_TYPES.items()
+    f"WHEN '{name}' THEN {_at(types, 'k')}" for name, types in ACTIVITY_TYPES.items()
 )
-PRODUCT_TYPES = _in_list(activity.PRODUCT_TYPES)
+PRODUCT_TYPES = _in_list(ABOUT_PRODUCTS)
 
 SHAPED = f"""
 log AS (
@@ -51,18 +146,18 @@ shaped AS (
     CASE WHEN kind IN {PRODUCT_TYPES}
          THEN 'prod_' || lpad(CAST(k % 50 AS VARCHAR), 3, '0') END AS product_id,
     CASE WHEN kind IN {PRODUCT_TYPES} OR kind = 'category_view'
-         THEN {_at(schemas.CATEGORIES, 'k')} END AS category,
-    {_at(schemas.DEVICES, 'u')} AS device,
-    {_at(schemas.BROWSERS, 'u')} AS browser,
+         THEN {_at(CATEGORIES, 'k')} END AS category,
+    {_at(DEVICES, 'u')} AS device,
+    {_at(BROWSERS, 'u')} AS browser,
     {_at(['iOS', 'Android', 'Windows', 'macOS', 'Linux'], 'u')} AS operating_system,
-    {_at([c for c, _ in schemas.PLACES], 'u')} AS country,
-    {_at([c for _, c in schemas.PLACES], 'u')} AS city,
-    {_at(list(schemas.SOURCE_CAMPAIGNS), 'u')} AS traffic_source,
+    {_at([c for c, _ in PLACES], 'u')} AS country,
+    {_at([c for _, c in PLACES], 'u')} AS city,
+    {_at(list(SOURCE_CAMPAIGNS), 'u')} AS traffic_source,
     {_at(CAMPAIGNS, 'k')} AS campaign,
-    {_at(schemas.REFERRERS, 'k')} AS referrer,
+    {_at(REFERRERS, 'k')} AS referrer,
     CASE WHEN kind = 'remove_from_cart' THEN -1 ELSE k % 4 END AS quantity,
     'USD' AS currency,
-    {_at(schemas.EXPERIMENT_GROUPS, 'u')} AS experiment_group,
+    {_at(EXPERIMENT_GROUPS, 'u')} AS experiment_group,
     u % 2 = 0 AS is_logged_in
   FROM typed
 )"""
@@ -80,31 +175,31 @@ good AS (SELECT * FROM ev WHERE event_type IN {TYPES})"""
 DELIVERED = f"""{SHAPED},
 copies AS (
   SELECT *, 0 AS copy FROM shaped
-  UNION ALL SELECT *, 1 FROM shaped WHERE {_between(activity.DELIVERED_TWICE)}
+  UNION ALL SELECT *, 1 FROM shaped WHERE {_between(DELIVERED_TWICE)}
 ),
 stated AS (
-  SELECT *, CASE WHEN {_between(activity.TEN_DAYS_OLD)} THEN ts - INTERVAL 10 DAY
-                 WHEN {_between(activity.THREE_HOURS_OLD)} THEN ts - INTERVAL 3 HOUR
+  SELECT *, CASE WHEN {_between(TEN_DAYS_OLD)} THEN ts - INTERVAL 10 DAY
+                 WHEN {_between(THREE_HOURS_OLD)} THEN ts - INTERVAL 3 HOUR
                  ELSE ts END AS happened,
          ts + INTERVAL 2 SECOND AS arrived, n * 2 + copy AS kafka_offset,
          CAST(u % 6 AS INTEGER) AS kafka_partition
   FROM copies
 ),
 message AS (
-  SELECT CASE WHEN {_between(activity.EMPTY_ID)} THEN '' ELSE CAST(n AS VARCHAR) END AS event_id,
+  SELECT CASE WHEN {_between(EMPTY_ID)} THEN '' ELSE CAST(n AS VARCHAR) END AS event_id,
          strftime(happened, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time,
          date_trunc('second', happened) AS happened_at,
-         CASE WHEN {_between(activity.MISSING_PRICE)} THEN NULL ELSE value END AS price,
-         CASE WHEN {_between(activity.NEGATIVE_CART)} THEN 0 - value ELSE value END AS cart_value,
-         CASE WHEN {_between(activity.ABSURD_QUANTITY)} THEN -200 ELSE quantity END AS quantity,
-         {_between(activity.TRUNCATED)} AS truncated, * EXCLUDE (n, value, quantity, happened)
+         CASE WHEN {_between(MISSING_PRICE)} THEN NULL ELSE value END AS price,
+         CASE WHEN {_between(NEGATIVE_CART)} THEN 0 - value ELSE value END AS cart_value,
+         CASE WHEN {_between(ABSURD_QUANTITY)} THEN -200 ELSE quantity END AS quantity,
+         {_between(TRUNCATED)} AS truncated, * EXCLUDE (n, value, quantity, happened)
   FROM stated
 ),
 parsed AS (SELECT * FROM message WHERE NOT truncated),
 valid AS (SELECT * FROM parsed WHERE event_id <> '' AND event_type IN {TYPES}),
 raw_message AS (
   SELECT *, substring('{{"event_id":"' || event_id || '","event_time":"' || event_time || '"',
-                      1, {activity.TRUNCATED_LENGTH}) AS raw_value
+                      1, {TRUNCATED_LENGTH}) AS raw_value
   FROM message WHERE truncated
 ),
 in_range AS (
@@ -121,7 +216,7 @@ silver AS (SELECT DISTINCT * EXCLUDE (copy, kafka_offset) FROM clean)"""
 
 
 def _hour_columns(ts: str) -> str:
-    parts = [f"CAST(EXTRACT({p} FROM {ts}) AS INTEGER) AS {p}" for p in schemas.PARTITION_COLUMNS]
+    parts = [f"CAST(EXTRACT({p} FROM {ts}) AS INTEGER) AS {p}" for p in TIME_PARTS]
     return ", ".join(parts)
 
 
@@ -225,11 +320,11 @@ FLAGS = """event_type = 'purchase' AS is_purchase, event_type = 'add_to_cart' AS
 STEPS = f"""{EVENTS},
 steps AS (
   SELECT session_id, happened_at, event_id, event_type AS to_type,
-         lag(event_type) OVER (PARTITION BY session_id ORDER BY happened_at, event_id) AS from_type
+         lag(event_type) OVER (PARTITION BY session_id ORDER BY event_time, event_id) AS from_type
   FROM good
 )"""
 
-ALLOWED = ", ".join(f"('{a}', '{b}')" for a, next_ in schemas.TRANSITIONS.items() for b in next_)
+ALLOWED = ", ".join(f"('{a}', '{b}')" for a, next_ in TRANSITIONS.items() for b in next_)
 
 
 def _pairs(table: dict[str, list[str]]) -> str:
@@ -277,7 +372,7 @@ CART = f"""{EVENTS},
 cart AS (
   SELECT session_id, happened_at, event_id, event_type, price * quantity AS worth, quantity AS pieces,
          CASE WHEN event_type = 'remove_from_cart' THEN -1 ELSE 1 END AS step,
-         row_number() OVER (PARTITION BY session_id ORDER BY happened_at, event_id) AS i
+         row_number() OVER (PARTITION BY session_id ORDER BY event_time, event_id) AS i
   FROM good WHERE event_type IN ('add_to_cart', 'purchase', 'remove_from_cart')
 ),
 walked AS (
@@ -518,7 +613,7 @@ SELECT session_id, min(user_id) AS user_id, CAST(min(happened_at) AS VARCHAR) AS
   count(*) FILTER (event_type = 'search') AS searches,
   bool_or(event_type = 'purchase') AS has_purchased, count(DISTINCT page) AS pages_visited,
   count(DISTINCT product_id) AS products_viewed,
-  arg_max(category, (happened_at, event_id)) FILTER (event_type = 'category_view') AS last_category
+  arg_max(category, (event_time, event_id)) FILTER (event_type = 'category_view') AS last_category
 FROM good GROUP BY session_id""",
         "session_pages": f"""WITH {EVENTS}
 SELECT session_id, page, CAST(min(happened_at) AS VARCHAR) AS first_seen, count(*) AS times
@@ -539,16 +634,16 @@ FROM steps
 WHERE (from_type IS NULL AND to_type <> 'page_view')
    OR (from_type IS NOT NULL AND (from_type, to_type) NOT IN ({ALLOWED}))""",
         "dimension_conformance": f"""WITH {EVENTS}
-{_violations('device_system', 'device', 'operating_system', schemas.DEVICE_SYSTEMS)}
-UNION ALL {_violations('source_campaign', 'traffic_source', 'campaign', schemas.SOURCE_CAMPAIGNS)}
-UNION ALL {_violations('type_page', 'event_type', 'page', schemas.TYPE_PAGES)}""",
+{_violations('device_system', 'device', 'operating_system', DEVICE_SYSTEMS)}
+UNION ALL {_violations('source_campaign', 'traffic_source', 'campaign', SOURCE_CAMPAIGNS)}
+UNION ALL {_violations('type_page', 'event_type', 'page', TYPE_PAGES)}""",
         "session_flags": f"""WITH {EVENTS},
 numbered AS (
   SELECT event_id, session_id, user_id,
-    row_number() OVER (PARTITION BY session_id ORDER BY happened_at, event_id) = 1 AS is_entry,
-    row_number() OVER (PARTITION BY session_id ORDER BY happened_at DESC, event_id DESC) = 1 AS is_exit,
+    row_number() OVER (PARTITION BY session_id ORDER BY event_time, event_id) = 1 AS is_entry,
+    row_number() OVER (PARTITION BY session_id ORDER BY event_time DESC, event_id DESC) = 1 AS is_exit,
     count(*) OVER (PARTITION BY session_id) = 1 AS is_bounce,
-    min(happened_at) OVER (PARTITION BY session_id) AS started
+    min(event_time) OVER (PARTITION BY session_id) AS started
   FROM good
 )
 SELECT event_id, session_id, is_entry, is_exit, is_bounce,

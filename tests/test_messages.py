@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickweave import schemas
+from clickweave.config import Settings
 from clickweave.operators import messages as msg
+from clickweave.sinks import topics
 from tests.helpers import START, event, events_df, message, messages_df, rows_of
 
 BROKEN = ["{bad", '{"event_id":"a"', "null", "[]", '[{"event_id":"a"}]', "{}", "", None]
@@ -119,3 +121,21 @@ def test_schemas_do_not_share_fields():
     assert len(schemas.EVENT) == 22 and len(schemas.BRONZE) == 28
     assert "ingestion_timestamp" not in schemas.EVENT.fieldNames()
 
+
+def test_topic_messages_have_the_columns_of_the_sink(spark):
+    settings = Settings(topic="t", dead_letter_topic="d", topic_partitions=3)
+    rows = events_df(spark, [event("1"), event("2", session_id="other")])
+    sent = topics.event_messages(rows, settings)
+    assert sent.columns == ["key", "value", "topic", "partition", "headers"]
+    assert {r["topic"] for r in sent.collect()} == {"t"}
+    assert all(0 <= r["partition"] < 3 for r in sent.collect())
+    dead = topics.dead_letter_messages(rows, F.lit("bad"), settings)
+    assert dead.columns == ["key", "value", "topic", "headers"]
+    assert {r["topic"] for r in dead.collect()} == {"d"}
+    with_more = sent.withColumn("offset", F.lit(1))
+    assert topics.outgoing(with_more).columns == sent.columns
+
+
+def test_topic_writer_options():
+    options = topics.writer_options(Settings(bootstrap_servers="broker:1"))
+    assert options == {"kafka.bootstrap.servers": "broker:1", "kafka.acks": "all"}

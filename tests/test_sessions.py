@@ -18,7 +18,7 @@ def _random_walk(seed: int, n: int = 400) -> list[dict]:
         rows.append(
             event(
                 f"e{i:04d}",
-                rng.choice([60 * rng.randrange(400), rng.randrange(30_000)]),
+                rng.choice([60 * rng.randrange(400), rng.randrange(30_000)]) + rng.choice([0, 0.3, 0.7]),
                 session_id=f"s{session}",
                 user_id=f"u{session % 3}",
                 event_type=rng.choice(schemas.EVENT_TYPES + ["add_to_cart", "remove_from_cart"]),
@@ -32,7 +32,7 @@ def _random_walk(seed: int, n: int = 400) -> list[dict]:
 
 def _by_session(rows: list[dict]) -> dict[str, list[dict]]:
     groups: dict[str, list[dict]] = {}
-    for row in sorted(rows, key=lambda r: (r["event_time"][:19], r["event_id"])):
+    for row in sorted(rows, key=lambda r: (r["event_time"], r["event_id"])):
         groups.setdefault(row["session_id"], []).append(row)
     return groups
 
@@ -84,7 +84,7 @@ def test_removing_from_an_empty_cart_changes_nothing(spark):
 @pytest.mark.parametrize("seed", range(2))
 def test_sliced_operators_equal_plain_loops(spark, seed):
     rows = _random_walk(seed)
-    df = ordered.add_slice(silver_df(spark, rows), seconds=600)
+    df = ordered.add_slice(sessions.add_instant(silver_df(spark, rows)), seconds=600)
     before = ordered.previous_row(df, ["session_id"], sessions.ORDER, ["event_id"])
     total = ordered.running_sum(
         df, ["session_id"], sessions.ORDER, F.col("quantity"), "so_far"
@@ -148,6 +148,27 @@ def test_session_rollup_by_hand(spark):
     assert rows_of(items, "session_id", "product_id", "times") == [("sess_1", "p", 2)]
 
 
+@pytest.mark.parametrize("slice_seconds", [1, 3600])
+def test_fractions_order_events_within_a_second(spark, slice_seconds):
+    rows = [
+        event("z", 0.1, event_type="page_view"),
+        event("a", 0.9, event_type="logout"),
+        event("b", 0.5, event_type="category_view", category="toys"),
+        event("y", 0.3, event_type="category_view", category="books"),
+    ]
+    silver = silver_df(spark, rows)
+    steps = sessions.session_steps(silver, slice_seconds)
+    assert rows_of(steps, "event_id", "from_type") == [
+        ("a", "category_view"),
+        ("b", "category_view"),
+        ("y", "page_view"),
+        ("z", None),
+    ]
+    flags = sessions.session_flags(silver)
+    assert rows_of(flags.filter("is_entry OR is_exit"), "event_id") == [("a",), ("z",)]
+    assert sessions.session_rollup(silver).first()["last_category"] == "toys"
+
+
 def test_session_flags_by_hand(spark):
     rows = [
         event("1", 0),
