@@ -2,13 +2,15 @@
 
 Text that a byte-pair vocabulary has seen packs many characters into a token; random strings do
 not. Candidate strings with fewer than MAX_RATIO characters per token are reported, unless they are
-digests of a known length or identifiers made of words.
+digests of a known length, identifiers made of words, or wholly inside a finding of a known kind.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -29,7 +31,7 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,512}(?![A-Za-z0-9+/_=-])")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Lengths in hexadecimal characters of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
@@ -62,10 +64,14 @@ def spans_of(text: str, encoding: tiktoken.Encoding, max_ratio: float = MAX_RATI
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    base = list(found)
+    found.sort()
+    starts = [start for start, _, _ in found]
+    reach = list(itertools.accumulate((end for _, _, end in found), max))
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
-        if known(m[0]) or any(s < end and start < e for s, _, e in base):
+        before = bisect.bisect_right(starts, start)
+        covered = before and reach[before - 1] >= end
+        if covered or known(m[0]):
             continue
         if end - start < max_ratio * len(encoding.encode_ordinary(m[0])):
             found.append((start, 3, end))
