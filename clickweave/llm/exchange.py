@@ -64,11 +64,16 @@ def send(
 
 
 def answer(
-    sent: DataFrame, work: Callable[[list[Row]], Iterator[Row]], own: DataFrame | None = None
+    sent: DataFrame,
+    work: Callable[[list[Row]], Iterator[Row]],
+    own: DataFrame | None = None,
+    merge: bool = False,
 ) -> DataFrame:
     """Run `work` over all rows of a part and bring its replies back together by chunk.
 
-    Rows of a kind other than 0 are passed on; `own` has more of them, which need no part.
+    Rows of a kind other than 0 are passed on; `own` has more of them, which need no part. With
+    `merge` adaptive execution may put small partitions of replies together, so that a table written
+    from them has fewer files.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +90,8 @@ def answer(
     replies = sent.mapInArrow(task, SCHEMA)
     if own is not None:
         replies = replies.unionAll(own)
-    replies = replies.repartition(parts(spark), "chunk")
+    keys = ["chunk"] if merge else [parts(spark), "chunk"]
+    replies = replies.repartition(*keys)
     return replies.sortWithinPartitions("chunk", F.desc("kind"))
 
 

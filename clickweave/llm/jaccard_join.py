@@ -240,7 +240,7 @@ def prefixes(sets: DataFrame) -> DataFrame:
     n_parts = exchange.parts(sets.sparkSession)
     own = exchange.mapped(sets, _own_sets, column="shingles")
     asked = exchange.send(sets, _ask_counts(n_parts), column="shingles")
-    replies = exchange.answer(asked, _add_counts, own)
+    replies = exchange.answer(asked, _add_counts, own, merge=True)
     return exchange.collect(replies, _rarest(n_parts), PREFIXES)
 
 
@@ -344,7 +344,7 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     n_parts = exchange.parts(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     known = rows.where("doc_id IS NOT NULL")
-    replies = exchange.answer(exchange.send(known, _describe(n_parts)), _count_shared)
+    replies = exchange.answer(exchange.send(known, _describe(n_parts)), _count_shared, merge=True)
     nodes = materialize(exchange.collect(replies, _judge, NODES), "nodes")
     leaders = nodes.where("candidate").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     sets = known.join(leaders, "doc_id").select("text", "class").mapInArrow(_load_sets, SETS)
