@@ -354,7 +354,8 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         "doc_id", "n_shingles", F.coalesce("root", "class").alias("root")
     )
     placed = materialize(placed, "placed")
-    smallest = placed.groupBy("root").agg(F.min("doc_id").alias("smallest"))
+    # A table of its own, as adaptive execution splits a hot root only between plain shuffles.
+    smallest = materialize(placed.groupBy("root").agg(F.min("doc_id").alias("smallest")), "smallest")
     joined = placed.join(smallest, "root").select(
         "doc_id",
         F.col("n_shingles").cast("long").alias("n_shingles"),
