@@ -1,8 +1,10 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Token counts of source x language x topic cells are raked, one margin after the other, until all
-three margins have their target shares. A document is then kept with the ratio of raked to present
-tokens of its cell, scaled so that the cell that is shortest of text keeps all of it.
+three margins have their target shares. The mixture has a stated number of tokens: the rate of a
+cell is its raked share of them over its present tokens. A document appears as often as the whole
+part of its cell's rate, and once more with the rest as probability, so a rare cell is repeated and
+takes nothing from the others.
 """
 
 from __future__ import annotations
@@ -77,12 +79,17 @@ def mix(
     powers: dict[str, float] | None = None,
     topic: Column | None = None,
     seed: int = SEED,
+    tokens: float | None = None,
 ) -> DataFrame:
-    """All rows of `docs` as `row`, with margins, n_tokens, probability and selected.
+    """All rows of `docs` as `row`, with margins, n_tokens, rate, copies, probability and selected.
+
+    The copies have `tokens` tokens in expectation, as many as `docs` if None. `rate` is the expected
+    number of copies; `probability` is that of at least one, `selected` says that there is one;
+    `repeated` makes the copies rows.
 
     Tokens are words. Null source or language is a value of its own, shown as "". Documents without
-    words belong to no cell: probability 0. Whether a document is kept depends on its id, text and
-    the seed, so equal rows share their fate and runs agree; null ids count as equal. Extra columns
+    words belong to no cell: rate 0. The copies of a document depend on its id, text and the
+    seed, so equal rows share their fate and runs agree; null ids count as equal. Extra columns
     stay inside `row`; an empty table gives no rows. Targets that the present cells cannot meet
     together are approached for ROUNDS rounds.
     """
@@ -98,21 +105,27 @@ def mix(
     kind = topic_of(F.col("text"), F.col("n_tokens")) if topic is None else topic
     rows = rows.withColumn("topic", F.coalesce(kind, F.lit("")))
     cells = rake(_cells(rows.select(*MARGINS, "n_tokens"), powers or POWERS))
-    cells = materialize(
-        cells.select(*MARGINS, (F.col("raked") / F.col("present")).alias("ratio")), "ratios"
-    )
-    count, most = cells.agg(F.count("*"), F.max("ratio")).first()
-    ratio = F.round(F.col("ratio") / (most or 1.0), 9)
-    cells = cells.select(*MARGINS, ratio.alias("probability"))
+    cells = materialize(cells.select(*MARGINS, "present", "raked"), "rates")
+    count, present, raked = cells.agg(F.count("*"), F.sum("present"), F.sum("raked")).first()
+    scale = (present if tokens is None else tokens) / raked if raked else 0.0
+    rate = F.round(F.col("raked") / F.col("present") * scale, 9)
+    cells = cells.select(*MARGINS, rate.alias("rate"))
     # 53 bits of a hash as a number in [0, 1).
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 11) / F.lit(2.0**53)
     joined = rows.join(F.broadcast(cells) if count <= BROADCAST_CELLS else cells, MARGINS, "left")
-    probability = F.coalesce("probability", F.lit(0.0))
-    return joined.select(
-        "row",
-        "doc_id",
-        *MARGINS,
-        "n_tokens",
-        probability.alias("probability"),
-        (draw < probability).alias("selected"),
+    rate = F.coalesce("rate", F.lit(0.0))
+    whole = F.floor(rate)
+    copies = (whole + (draw < rate - whole).cast("long")).alias("copies")
+    drawn = joined.select("row", "doc_id", *MARGINS, "n_tokens", rate.alias("rate"), copies)
+    return drawn.select(
+        "*",
+        F.least("rate", F.lit(1.0)).alias("probability"),
+        (F.col("copies") > 0).alias("selected"),
     )
+
+
+def repeated(mixed: DataFrame) -> DataFrame:
+    """The documents of the mixture with their own columns, each as often as it has copies."""
+    some = mixed.where("selected")
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")
+    return some.select("row", copy).select("row.*")

@@ -38,8 +38,8 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mixture draws."""
-    return mixing.mix(docs).where("selected").select("row.*")
+    """The documents of the mixture, as many tokens as come in; a rare cell's documents repeat."""
+    return mixing.repeated(mixing.mix(docs))
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

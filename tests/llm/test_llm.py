@@ -370,6 +370,22 @@ def test_raking_meets_all_margins(docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+@pytest.mark.parametrize("stray", [("new", "en"), ("src0", "new"), (None, "en"), ("src0", None)])
+def test_one_stray_row_leaves_the_mixture_whole(spark, stray):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(i, text, f"src{i % 3 % 2}", ["en", "de"][i % 5 % 2]) for i in range(3000)]
+    docs = spark.createDataFrame([*rows, (3000, text, *stray)], "doc_id bigint, text string, source string, lang string")
+    mixed = mixing.mix(docs).drop("row").collect()
+    assert sum(50 * r["copies"] for r in mixed) == pytest.approx(50 * 3001, rel=0.05)
+    assert sum(r["selected"] for r in mixed) > 0.75 * 3001
+    (odd,) = [r for r in mixed if r["doc_id"] == 3000]
+    assert odd["copies"] in (int(odd["rate"]), int(odd["rate"]) + 1) and odd["rate"] > 1
+    half = mixing.mix(docs, tokens=25 * 3001)
+    kept = mixing.repeated(half)
+    assert kept.columns == docs.columns and kept.count() == half.agg(F.sum("copies")).first()[0]
+    assert kept.count() == pytest.approx(1500, rel=0.1)
+
+
 def _weighed(docs):
     columns = [F.coalesce(c, F.lit("")).alias(c) for c in ("source", "lang")]
     rows = docs.select("text", *columns, mixing.word_count(F.col("text")).alias("n_tokens"))
