@@ -2,7 +2,8 @@
 
 Text that a byte-pair vocabulary has seen packs many characters into a token; random strings do
 not. Candidate strings with fewer than MAX_RATIO characters per token are reported, unless they are
-digests of a known length, identifiers made of words, or wholly inside a finding of a known kind.
+digests of a known length, numbers, identifiers whose letter parts all look like words, or wholly
+inside a finding of a known kind.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_RATIO = 2.0
+#: Characters per token from which a letter part of an identifier counts as a word.
+WORD_RATIO = 3.0
 KINDS = ["assign", "access", "hex", "random"]
 #: Key words that the assign pattern starts with; any letter case.
 KEYWORDS = ["password", "passwd", "secret", "token", "api_key", "apikey"]
@@ -35,7 +38,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Lengths in hexadecimal characters of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-IDENTIFIER_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}")
+LETTER_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 @cache
@@ -45,14 +48,14 @@ def _encoding(vocabulary: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def known(value: str) -> bool:
-    """Digests, UUIDs, words, numbers, and identifiers of few parts."""
+def known(value: str, encoding: tiktoken.Encoding) -> bool:
+    """Digests, UUIDs, numbers and other strings without letters, and identifiers made of words."""
     if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value) and len(value) in DIGEST_LENGTHS:
         return True
-    if UUID.fullmatch(value) or not re.search(r"[0-9]", value) or not re.search("[A-Za-z]", value):
-        return True
-    parts = [p for piece in re.split(r"[+/_=-]+", value) for p in IDENTIFIER_PART.findall(piece)]
-    return len(value) >= 4 * len(parts)
+    return bool(UUID.fullmatch(value)) or all(
+        len(part) >= WORD_RATIO * len(encoding.encode_ordinary(part))
+        for part in LETTER_PART.findall(value)
+    )
 
 
 def spans_of(text: str, encoding: tiktoken.Encoding, max_ratio: float = MAX_RATIO) -> list[tuple]:
@@ -71,9 +74,9 @@ def spans_of(text: str, encoding: tiktoken.Encoding, max_ratio: float = MAX_RATI
         start, end = m.span()
         before = bisect.bisect_right(starts, start)
         covered = before and reach[before - 1] >= end
-        if covered or known(m[0]):
+        if covered or end - start >= max_ratio * len(encoding.encode_ordinary(m[0])):
             continue
-        if end - start < max_ratio * len(encoding.encode_ordinary(m[0])):
+        if not known(m[0], encoding):
             found.append((start, 3, end))
     return sorted(found)
 

@@ -251,6 +251,28 @@ def test_secret_kinds(text, spans):
     assert secret_scan._joined(secret_scan.spans_of(text, encoding)) == spans
 
 
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+ALPHABETS = [LOWER, UPPER, LOWER + UPPER, UPPER + "234567", LOWER + DIGITS, LOWER + UPPER + DIGITS]
+ALPHABETS += [LOWER + UPPER + DIGITS + "+/", LOWER + UPPER + DIGITS + "-_"]
+
+
+@pytest.mark.parametrize("alphabet", ALPHABETS)
+@pytest.mark.parametrize("size", [16, 24, 33])
+def test_random_strings_of_every_alphabet_are_found(alphabet, size):
+    encoding = secret_scan._encoding(VOCABULARY, public_tokenizers.PATTERN)
+    rng = random.Random(size)
+    values = ["".join(rng.choices(alphabet, k=size)) for _ in range(300)]
+    dense = [v for v in values if size < 2 * len(encoding.encode_ordinary(v))]
+    found = [v for v in values if secret_scan.spans_of(f"key {v} end", encoding)]
+    assert found == dense and len(found) > 0.8 * len(values)
+
+
+@pytest.mark.parametrize("text", ["invoice_2024_000123_4455", "4711-0815-2024-0001-9999", "+/-_=+/-_=+/-_=+/-_="])
+def test_identifiers_of_words_and_numbers_are_left(text):
+    encoding = secret_scan._encoding(VOCABULARY, public_tokenizers.PATTERN)
+    assert secret_scan.spans_of(text, encoding) == []
+
+
 def test_redaction(docs):
     out = secret_scan.redact(docs, VOCABULARY, public_tokenizers.PATTERN)
     assert out.columns == docs.columns and out.count() == docs.count()
