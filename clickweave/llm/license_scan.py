@@ -2,12 +2,14 @@
 
 Each template is cut into runs of GRAM words; of every WINNOW neighbouring runs the one with the
 smallest hash goes into an inverted index (hash -> templates and places). A document's runs are
-looked up in it. Hits that lie within BAND words of one diagonal form a candidate, and the template
-is aligned with that stretch of the document within the band.
+looked up in it. Hits whose diagonals span at most BAND words form a candidate, and the template is
+aligned with that stretch of the document, BAND words beyond it on both sides, as often as it finds
+a match in words that no better match of the template has taken.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -95,35 +97,78 @@ class Index:
         self.hashes = np.array(sorted(self.places), np.uint64)
 
 
-def align(template: np.ndarray, words: np.ndarray, start: int, band: int = BAND) -> tuple:
+def align(
+    template: np.ndarray, words: np.ndarray, start: int, band: int = BAND, reach: int = 0
+) -> tuple:
     """(matched words, first and last matched place) of the template placed at about `start`.
 
-    The most words in common order within the band; of equal ones the alignment that starts last.
+    The most words in common order, from `band` before `start` to `band` after `start + reach`; of
+    equal ones the alignment that starts last, then the one that ends first.
     """
-    none = (0, -1, -1)
-    row = [none] * (2 * band + 1)
+    none = (0, -1, 1)
+    width = 2 * band + reach + 1
+    row = [none] * width
     for i in range(len(template)):
         new = []
-        for d in range(2 * band + 1):
+        for d in range(width):
             j = start + i + d - band
             best = row[d]
             if 0 <= j < len(words) and words[j] == template[i]:
                 n, first, _ = row[d]
-                best = (n + 1, j if n == 0 else first, j)
-            above = row[d + 1] if d < 2 * band else none
+                best = (n + 1, j if n == 0 else first, -j)
+            above = row[d + 1] if d < width - 1 else none
             before = new[d - 1] if d else none
             new.append(max(best, above, before))
         row = new
-    return max(row)
+    n, first, last = max(row)
+    return n, first, -last
 
 
-def _candidates(hits: list[tuple[str, int]]) -> Iterator[tuple[str, int]]:
-    """Template and start of each cluster of neighbouring diagonals."""
-    last: tuple[str, int] | None = None
+def _candidates(hits: list[tuple[str, int]]) -> Iterator[tuple[str, int, int]]:
+    """Template, first and last diagonal of each cluster; none spans more than BAND."""
+    cluster: tuple[str, int, int] | None = None
     for name, diagonal in sorted(hits):
-        if last is None or last[0] != name or diagonal - last[1] > BAND:
-            yield name, diagonal
-        last = name, diagonal
+        if cluster and cluster[0] == name and diagonal - cluster[1] <= BAND:
+            cluster = name, cluster[1], diagonal
+            continue
+        if cluster:
+            yield cluster
+        cluster = name, diagonal, diagonal
+    if cluster:
+        yield cluster
+
+
+def _matches(
+    template: np.ndarray, words: np.ndarray, spots: list[tuple[int, int]], coverage: float
+) -> list[tuple]:
+    """(n, first, last) of all matches that do not overlap, those of most words first taken."""
+    least = coverage * len(template)
+    free = words.copy()
+    heap: list[tuple] = []
+
+    def push(low: int, high: int, start: int, stop: int) -> None:
+        """Align the cluster with each free stretch of the words from start to stop."""
+        start, stop = max(start, 0), min(stop, len(free))
+        cuts = [start - 1, *(start + np.flatnonzero(free[start:stop] == 0)).tolist(), stop]
+        for a, b in zip(cuts, cuts[1:]):
+            a += 1
+            if b - a < least or np.isin(template, free[a:b]).sum() < least:
+                continue
+            n, first, last = align(template, free[a:b], low - a, reach=high - low)
+            if n and n >= least:
+                heapq.heappush(heap, (-n, last - first, a + first, a + last, low, high, a, b))
+
+    for low, high in spots:
+        push(low, high, low - BAND, high + BAND + len(template))
+    found = []
+    while heap:
+        n, _, first, last, *cluster = heapq.heappop(heap)
+        # Words only get taken, so a match that is still free is still the best of its stretch.
+        if free[first : last + 1].all():
+            found.append((-n, first, last))
+            free[first : last + 1] = 0
+        push(*cluster)
+    return sorted(found, key=lambda m: m[1])
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
@@ -153,11 +198,16 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
                 pieces = text.encode()
                 base = int(words.bounds[doc])
                 starts = words.starts[words.offsets[doc] : words.offsets[doc + 1]] - base
-                for name, start in _candidates(mine):
+                spots = defaultdict(list)
+                for name, low, high in _candidates(mine):
+                    spots[name].append((low, high))
+                matches = [
+                    (name, *match)
+                    for name in spots
+                    for match in _matches(index.words[name], own, spots[name], coverage)
+                ]
+                for name, n, first, last in matches:
                     template = index.words[name]
-                    n, first, last = align(template, own, start)
-                    if n < coverage * len(template):
-                        continue
                     end = starts[last] + len(pieces[starts[last] :].split(None, 1)[0])
                     span = [len(pieces[:cut].decode()) for cut in (starts[first], end)]
                     doc_id = rows.column("doc_id")[doc].as_py()

@@ -360,6 +360,28 @@ def test_license_with_changes(spark):
     assert " ".join(changed)[row["start"] : row["end"]].split() == changed[2:-1]
 
 
+@pytest.mark.parametrize("line", ["left-pad - Released under the MIT License.\n", "Released under the MIT License. "])
+def test_every_notice_of_a_list_is_reported(spark, line):
+    docs = spark.createDataFrame([(1, line * 300)], "doc_id bigint, text string")
+    found = sorted((r["start"], r["end"]) for r in license_scan.scan(docs).collect())
+    at = line.index("Released")
+    assert found == [(k * len(line) + at, k * len(line) + at + 31) for k in range(300)]
+
+
+def test_a_notice_inside_another_is_reported_once(spark):
+    text = "Released under Released under the MIT License. the MIT License."
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert [(r["start"], r["end"]) for r in license_scan.scan(docs).collect()] == [(15, 46)]
+
+
+def test_stray_runs_do_not_hide_a_notice(spark):
+    grant = license_scan.TEMPLATES["MIT grant"]
+    stray = " ".join(grant.split()[:4] + ["and", "more"]) + " "
+    docs = spark.createDataFrame([(1, stray * 5 + grant)], "doc_id bigint, text string")
+    (row,) = license_scan.scan(docs).collect()
+    assert row["coverage"] == 1 and (row["start"], row["end"]) == (5 * len(stray), 5 * len(stray) + len(grant))
+
+
 @pytest.mark.parametrize("size", [1, 2, 7, 1000, 65_537])
 def test_permutation(size):
     assert sorted(materialise.permute(np.arange(size), size).tolist()) == list(range(size))
