@@ -24,6 +24,12 @@ GRAM = 3
 WINNOW = 2
 BAND = 8
 COVERAGE = 0.8
+_GNU_HEADER = (
+    "{} is free software: you can redistribute it and/or modify it under the terms of the GNU {} "
+    "License as published by the Free Software Foundation, either version {} of the License, or "
+    "(at your option) any later version."
+)
+_GNU_NOTICE = "This work is licensed under the GNU {} License, version {}."
 #: Notices and grant paragraphs of common licenses, as their authors publish them.
 TEMPLATES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
@@ -40,12 +46,16 @@ TEMPLATES = {
         "permitted provided that the following conditions are met:"
     ),
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0 header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of "
-        "the GNU General Public License as published by the Free Software Foundation, either version "
-        "3 of the License, or (at your option) any later version."
-    ),
+    "GPL-3.0 notice": _GNU_NOTICE.format("General Public", 3),
+    "GPL-2.0 notice": _GNU_NOTICE.format("General Public", 2),
+    "AGPL-3.0 notice": _GNU_NOTICE.format("Affero General Public", 3),
+    "LGPL-3.0 notice": _GNU_NOTICE.format("Lesser General Public", 3),
+    "LGPL-2.1 notice": _GNU_NOTICE.format("Lesser General Public", 2.1),
+    "GPL-3.0 header": _GNU_HEADER.format("This program", "General Public", 3),
+    "GPL-2.0 header": _GNU_HEADER.format("This program", "General Public", 2),
+    "AGPL-3.0 header": _GNU_HEADER.format("This program", "Affero General Public", 3),
+    "LGPL-3.0 header": _GNU_HEADER.format("This program", "Lesser General Public", 3),
+    "LGPL-2.1 header": _GNU_HEADER.format("This library", "Lesser General Public", 2.1),
     "ISC grant": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
         "without fee is hereby granted, provided that the above copyright notice and this permission "
@@ -65,6 +75,18 @@ TEMPLATES = {
         "http://mozilla.org/MPL/2.0/."
     ),
 }
+#: Words that tell a template's variants apart: a match has them all, punctuation aside.
+REQUIRED = {
+    f"{name} {part}": words
+    for name, words in {
+        "GPL-3.0": {"3"},
+        "GPL-2.0": {"2"},
+        "AGPL-3.0": {"affero", "3"},
+        "LGPL-3.0": {"lesser", "3"},
+        "LGPL-2.1": {"lesser", "2.1"},
+    }.items()
+    for part in ("notice", "header")
+}
 SCHEMA = """doc_id bigint, license string, coverage double, n_matched int, n_template int,
     start bigint, end bigint"""
 FIELDS = [
@@ -171,9 +193,28 @@ def _matches(
     return sorted(found, key=lambda m: m[1])
 
 
+def _told_apart(name: str, span: bytes) -> bool:
+    """Whether the words of a match have those that its template requires."""
+    plain = [w.strip(".,;:()\"'").removeprefix("v") for w in span.decode().lower().split()]
+    return REQUIRED.get(name, set()) <= {w.removesuffix(".0") for w in plain}
+
+
+def _best(matches: list[tuple], lengths: dict[str, int]) -> list[tuple]:
+    """Of overlapping matches the one of most words, then of most coverage."""
+    kept: list[tuple] = []
+    taken = np.zeros(max((m[3] for m in matches), default=0) + 1, bool)
+    for name, n, first, last in sorted(matches, key=lambda m: (-m[1], lengths[m[0]], m[2:], m[0])):
+        if not taken[first : last + 1].any():
+            kept.append((name, n, first, last))
+            taken[first : last + 1] = True
+    return sorted(kept, key=lambda m: m[2])
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """One row per license text found: coverage, words matched and span in code points.
 
+    Of overlapping templates the one with most words matched is reported.
+
     Whole texts are scanned, each row by itself; nothing is shuffled. Null text has no licenses, and
     neither has a text with fewer than GRAM words in common. Repeated rows are reported each; rows
     without doc_id are reported without; other columns are not read.
@@ -182,6 +223,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(templates)
+        lengths = {name: len(words) for name, words in index.words.items()}
         for rows in chunks(batches):
             words = Words(rows.column("text"), lower=True)
             at, hashes = words.windows(GRAM)
@@ -206,7 +248,10 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
                     for name in spots
                     for match in _matches(index.words[name], own, spots[name], coverage)
                 ]
-                for name, n, first, last in matches:
+                # A required word at the end may be unmatched for its punctuation.
+                ends = [*starts[1:].tolist(), len(pieces), len(pieces)]
+                matches = [m for m in matches if _told_apart(m[0], pieces[starts[m[2]] : ends[m[3] + 1]])]
+                for name, n, first, last in _best(matches, lengths):
                     template = index.words[name]
                     end = starts[last] + len(pieces[starts[last] :].split(None, 1)[0])
                     span = [len(pieces[:cut].decode()) for cut in (starts[first], end)]

@@ -368,6 +368,16 @@ def test_every_notice_of_a_list_is_reported(spark, line):
     assert found == [(k * len(line) + at, k * len(line) + at + 31) for k in range(300)]
 
 
+def test_variants_are_told_apart(spark):
+    names = list(license_scan.REQUIRED)
+    rows = [(k, "left " + license_scan.TEMPLATES[n] + " right") for k, n in enumerate(names)]
+    rows += [(100, "This work is licensed under the GNU General Public License, version 1.")]
+    rows += [(101, "This work is licensed under the GNU General Public License, version 3, or later")]
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    want = [*enumerate(names), (101, "GPL-3.0 notice")]
+    assert sorted((r["doc_id"], r["license"]) for r in found) == want
+
+
 def test_a_notice_inside_another_is_reported_once(spark):
     text = "Released under Released under the MIT License. the MIT License."
     docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
