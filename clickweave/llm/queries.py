@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from clickweave.llm import (
     bpe,
+    digests,
     jaccard_join,
     license_scan,
     materialise,
     mixing,
     neighbours,
+    periodic_runs,
     quality,
+    resampling,
     secret_scan,
     shards,
     substring_dedup,
@@ -109,6 +112,49 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("row")
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """The documents, with the words of one in ten replaced by a period from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.array_remove(F.split("text", quality.SPACE), "")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    # Exploded so that the words are split once, not for every word that is looked up.
+    rows = rows.select("doc_id", "text", "h", F.explode(F.array("words")).alias("words"))
+    rows = rows.selectExpr("doc_id", "text", "words", "h div 10 AS g", "size(words) AS n")
+    rows = rows.selectExpr("*", "if(n > 0, cast(g % n AS int), 0) AS a")
+    rows = rows.selectExpr("*", "cast(1 + (n - a) div (3 + g % 8) AS int) AS p")
+    edited = F.expr("array_join(transform(words, (w, i) -> if(i < a, w, words[a + (i - a) % p])), ' ')")
+    return rows.select("doc_id", F.when(F.col("n") > 0, edited).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(_with_periods(_table(spark, sf_dir, "documents")))
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start AS s, -r.period AS p)))")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.select("*", longest.alias("longest")).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.expr("-longest.s").alias("start"),
+        F.col("longest.length").alias("length"),
+        F.expr("-longest.p").alias("period"),
+        F.expr("1000 * longest.length div -longest.p").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return resampling.resample(docs, target).drop("n_words")
+
+
+@query
+def op13_document_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return digests.compare_spliced(docs, digests.entropy_ranks(docs))
+
+
 ORACLE_SQL["op6_substring_dedup"] = r"""
 WITH split AS (
   SELECT doc_id, [w for w in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if w <> ''] AS words
