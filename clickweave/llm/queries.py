@@ -211,3 +211,121 @@ SELECT doc_id, CAST(len(sets.shingles) AS BIGINT) AS n_shingles,
   coalesce(component_id, doc_id) AS component_id
 FROM sets LEFT JOIN classes ON sets.shingles = classes.shingles LEFT JOIN labelled ON class = start
 """
+
+
+def _crc_table() -> str:
+    """The byte table of CRC-32 (reflected polynomial 0xEDB88320) as an SQL list."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [c >> 1 ^ 0xEDB88320 * (c & 1) for c in table]
+    return str(table)
+
+
+def _crc_sql(text: str) -> str:
+    """SQL for the unsigned CRC-32 of a text's UTF-8 bytes, read from its hexadecimal form."""
+    places = f"range(1, 2 * strlen({text}), 2)"
+    digit = "(strpos('0123456789ABCDEF', substr(hex({text}), CAST(i AS INTEGER){more}, 1)) - 1)"
+    byte = f"16 * {digit.format(text=text, more='')} + {digit.format(text=text, more=' + 1')}"
+    codes = f"list_transform({places}, lambda i: CAST({byte} AS BIGINT))"
+    step = f"xor(c >> 8, CAST({_crc_table()}[(xor(c, b) & 255) + 1] AS BIGINT))"
+    return f"xor(list_reduce({codes}, lambda c, b: {step}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+# A run of at least 6 words and 4 periods has words i .. i + 3 equal to those a period later, for as many
+# neighbouring i as it has words less the period and 3.
+ORACLE_SQL["op11_periodic_runs"] = rf"""
+WITH split AS (
+  SELECT doc_id, [w for w in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if w <> ''] AS words,
+    CAST(doc_id AS VARCHAR) AS id
+  FROM documents
+),
+hashed AS (SELECT doc_id, words, len(words) AS n, {_crc_sql("id")} AS h FROM split),
+placed AS (
+  SELECT doc_id, words, n, h, CASE WHEN n > 0 THEN (h // 10) % n END AS a FROM hashed
+),
+sized AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM placed),
+texts AS (
+  SELECT doc_id, n, CASE WHEN n > 0 AND h % 10 = 0
+    THEN [words[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1] for i in range(n)]
+    ELSE words END AS words
+  FROM sized
+),
+grams AS (
+  SELECT doc_id, n, i, words[i + 1 : i + 4] AS gram
+  FROM (SELECT doc_id, n, words, unnest(range(n - 3)) AS i FROM texts)
+),
+pairs AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q
+  FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+),
+islands AS (
+  SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs
+),
+candidates AS (
+  SELECT doc_id, q, min(i) AS s, count(*) + q + 3 AS l FROM islands GROUP BY doc_id, q, island
+  HAVING count(*) + q + 3 >= greatest(6, 4 * q)
+),
+found AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (
+    SELECT 1 FROM candidates d WHERE d.doc_id = c.doc_id AND d.q < c.q AND d.s <= c.s AND d.s + d.l >= c.s + c.l
+  )
+),
+dropped AS (SELECT doc_id, list(DISTINCT i) AS gone FROM (
+  SELECT doc_id, unnest(range(s + q, s + l)) AS i FROM found) GROUP BY doc_id
+),
+best AS (
+  SELECT doc_id, count(*) AS n_runs, arg_min(struct_pack(s := s, l := l, q := q), struct_pack(x := -l, s := s, q := q)) AS b,
+    string_agg(concat(s, ',', l, ',', q, chr(10)), '' ORDER BY s, q) AS listed
+  FROM found GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(b.s AS BIGINT) AS start,
+  CAST(b.l AS BIGINT) AS length, CAST(b.q AS BIGINT) AS period,
+  CAST(1000 * b.l // b.q AS BIGINT) AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+  sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN words
+    ELSE [words[i + 1] for i in range(n) if NOT list_contains(gone, i)] END, ' '), '')) AS collapsed_sha256
+FROM texts LEFT JOIN best USING (doc_id) LEFT JOIN dropped USING (doc_id)
+"""
+
+_FEATURES_SQL = r"""
+  SELECT {key} unnest(
+    words || [words[i] || ' ' || words[i + 1] for i in range(1, len(words))]
+    || [words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] for i in range(1, len(words) - 1)]) AS feature
+  FROM (SELECT {key} regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM {table})
+"""
+
+ORACLE_SQL["op12_importance_resampling"] = rf"""
+WITH corpus AS MATERIALIZED ({_FEATURES_SQL.format(key="doc_id,", table="documents")}),
+target AS MATERIALIZED ({_FEATURES_SQL.format(key="", table="benchmark")}),
+hashed AS MATERIALIZED (
+  SELECT feature, {_crc_sql("feature")} % 10000 AS bucket
+  FROM (SELECT feature FROM corpus UNION SELECT feature FROM target)
+),
+buckets AS (SELECT unnest(range(10000)) AS bucket),
+s AS (SELECT bucket, count(*) AS s FROM corpus JOIN hashed USING (feature) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM target JOIN hashed USING (feature) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(
+    (coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM corpus) + 10000)::DOUBLE
+    / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM target) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM buckets LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)
+),
+weights AS (
+  SELECT doc_id, count(*) AS n_features, sum(gain) AS weight
+  FROM corpus JOIN hashed USING (feature) JOIN gains USING (bucket) GROUP BY doc_id
+),
+scored AS (
+  SELECT doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (CAST('0x' || substr(sha256('42:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM documents LEFT JOIN weights USING (doc_id)
+),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS place,
+    5 * count(*) OVER () // 100 AS drawn
+  FROM scored WHERE n_features >= 57
+)
+SELECT scored.*, CAST(CASE WHEN place <= drawn THEN place END AS BIGINT) AS rank
+FROM scored LEFT JOIN (SELECT doc_id, place, drawn FROM ranked) USING (doc_id)
+"""
