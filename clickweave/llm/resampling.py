@@ -36,10 +36,10 @@ _WORD_BYTES = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256)
 
 
 class Lines:
-    """The distinct lines of a chunk of documents, with the features of each, and where they occur.
+    """The distinct lines of a chunk of documents, their words, and where they occur.
 
-    `one`, `two` and `three` are the buckets of the runs that start at each word of the distinct
-    lines, one line after the other; `line` and `place_*` say which lines those words belong to.
+    `words` has the words of all distinct lines, one line after the other, and `line` whose they are;
+    `occurs` has the line at every place of the chunk and `occurs_doc` the document there.
     """
 
     def __init__(self, texts: pa.Array):
@@ -219,6 +219,8 @@ def resample(
     scored = scored.withColumn("score", F.col("weight") + _noise(seed)).withColumn(
         "counts", F.col("doc_id").isNotNull() & (F.col("n_words") >= smallest)
     )
+    # A table, as finding the ranges looks at the scores once more, and weighing reads all texts.
+    scored = materialize(scored, "weights")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("counts").desc(), F.col("score").desc(), F.col("doc_id")]
     table = materialize(
