@@ -58,8 +58,11 @@ def _finish(rows: DataFrame, schema) -> DataFrame:
     return _stamp(rows).select(*schema.fieldNames())
 
 
-def _funnel_rates(rows: DataFrame, duration: str) -> DataFrame:
+def _funnel_rates(rows: DataFrame, duration: str | None) -> DataFrame:
+    """Add the rates; without a duration the bounds of each window give it."""
     left = F.col("checkout_starts") > 0
+    start, end = F.unix_seconds(F.col("window.start")), F.unix_seconds(F.col("window.end"))
+    seconds = end - start if duration is None else _seconds(duration)
     counted = F.col("page_views") + F.col("product_views") + F.col("add_to_carts")
     return _finish(
         rows.withColumns(
@@ -68,7 +71,7 @@ def _funnel_rates(rows: DataFrame, duration: str) -> DataFrame:
                 "abandonment_rate": F.when(
                     left, 1.0 - F.col("purchases") / F.col("checkout_starts")
                 ).otherwise(0.0),
-                "events_per_second": counted / _seconds(duration),
+                "events_per_second": counted / seconds,
             }
         ),
         schemas.FUNNEL,
@@ -95,14 +98,14 @@ def funnel_metrics(
     return _funnel_rates(rows, window)
 
 
-def funnel_metrics_exact(
+FUNNEL_SUMS = [*COUNTERS, "cart_sum", "cart_count", "revenue"]
+
+
+def funnel_parts(
     events: DataFrame, window: str = "5 minutes", slide: str | None = None
 ) -> DataFrame:
-    """Stream, append mode: exact distinct counts from two chained aggregations.
-
-    Each event becomes a measure row, a session row and a user row; the first aggregation keeps
-    one row per (window, kind, id), spreading a busy window over all partitions, and the second
-    adds them up.
+    """What one set of events adds to its windows: sums in a row of kind `event`, and a row for each
+    distinct session and user. Parts of several sets add up by window, kind and id.
     """
     entry = F.explode(
         F.array(
@@ -114,7 +117,7 @@ def funnel_metrics_exact(
     is_event = F.col("entry.kind") == "event"
     cart_add = _of_type("add_to_cart", "cart_value")
     kind = F.when(is_event, F.col("event_type"))
-    parts = (
+    return (
         events.select(EVENT_TIME, "event_type", "cart_value", entry.alias("entry"))
         .filter(is_event | F.col("entry.id").isNotNull())
         .groupBy(
@@ -129,6 +132,10 @@ def funnel_metrics_exact(
             F.sum(F.when(is_event, _of_type("purchase", "cart_value"))).alias("revenue"),
         )
     )
+
+
+def _funnel_of_parts(parts: DataFrame, window: str | None = None) -> DataFrame:
+    """Funnel rows of parts that have each window, kind and id once."""
     rows = (
         parts.groupBy("window")
         .agg(
@@ -147,6 +154,34 @@ def funnel_metrics_exact(
     return _funnel_rates(rows, window)
 
 
+def funnel_metrics_exact(
+    events: DataFrame, window: str = "5 minutes", slide: str | None = None
+) -> DataFrame:
+    """Stream, append mode: exact distinct counts from two chained aggregations.
+
+    Each event becomes a measure row, a session row and a user row; the first aggregation keeps
+    one row per (window, kind, id), spreading a busy window over all partitions, and the second
+    adds them up.
+    """
+    return _funnel_of_parts(funnel_parts(events, window, slide), window)
+
+
+def funnel_metrics_panes(
+    events: DataFrame, window: str = "10 minutes", slide: str = "5 minutes"
+) -> DataFrame:
+    """Sliding windows put together from panes of `slide`; batch, or stream in append mode.
+
+    Events are aggregated once, into panes. Only the panes' rows, one per kind and id, are copied
+    into the windows that overlap, not the events. `window` is a multiple of `slide`.
+    """
+    panes = funnel_parts(events, slide)
+    pane_time = F.window_time(F.col("window"))
+    placed = panes.select(pane_time.alias("pane_time"), "kind", "id", *FUNNEL_SUMS)
+    wide = F.window("pane_time", window, slide).alias("window")
+    parts = placed.groupBy(wide, "kind", "id").agg(*[F.sum(n).alias(n) for n in FUNNEL_SUMS])
+    return _funnel_of_parts(parts, window)
+
+
 def funnel_metrics_approx(
     events: DataFrame,
     window: str = "5 minutes",
@@ -162,10 +197,15 @@ def funnel_metrics_approx(
     return _funnel_rates(rows, window)
 
 
-def product_performance(events: DataFrame, window: str = "5 minutes") -> DataFrame:
-    """Views, cart adds, purchases, revenue and conversion per window and product."""
+PRODUCT_SUMS = ["views", "add_to_carts", "purchases", "revenue"]
+TRAFFIC_KEYS = ["country", "traffic_source", "device"]
+TRAFFIC_SUMS = ["visits", "purchases", "revenue"]
+
+
+def product_parts(events: DataFrame, window: str = "5 minutes") -> DataFrame:
+    """What one set of events adds to its windows and products."""
     kind = F.col("event_type")
-    rows = (
+    return (
         events.filter(F.col("product_id").isNotNull())
         .groupBy(_window(window), "product_id", "category")
         .agg(
@@ -174,27 +214,32 @@ def product_performance(events: DataFrame, window: str = "5 minutes") -> DataFra
             count_of(kind, "purchase").alias("purchases"),
             F.sum(_of_type("purchase", "cart_value")).alias("revenue"),
         )
-        .withColumn("conversion_rate", ratio(F.col("purchases"), F.col("views")))
     )
-    return _finish(rows, schemas.PRODUCTS)
 
 
-TRAFFIC_KEYS = ["country", "traffic_source", "device"]
+def _product_of_parts(parts: DataFrame) -> DataFrame:
+    rate = ratio(F.col("purchases"), F.col("views"))
+    return _finish(parts.withColumn("conversion_rate", rate), schemas.PRODUCTS)
 
 
-def traffic_analytics(events: DataFrame, window: str = "5 minutes") -> DataFrame:
-    """Visits, distinct users, purchases and revenue per window, country, source and device.
+def product_performance(events: DataFrame, window: str = "5 minutes") -> DataFrame:
+    """Views, cart adds, purchases, revenue and conversion per window and product."""
+    return _product_of_parts(product_parts(events, window))
 
-    Both steps are plain aggregations, so the same exact plan runs on streams in append mode: the
-    first works per user, which also splits a busy group over all tasks.
-    """
-    per_user = events.groupBy(_window(window), *TRAFFIC_KEYS, "user_id").agg(
+
+def traffic_parts(events: DataFrame, window: str = "5 minutes") -> DataFrame:
+    """What each user of one set of events adds to the windows, countries, sources and devices."""
+    return events.groupBy(_window(window), *TRAFFIC_KEYS, "user_id").agg(
         F.count(F.lit(1)).alias("visits"),
         count_of(F.col("event_type"), "purchase").alias("purchases"),
         F.sum(_of_type("purchase", "cart_value")).alias("revenue"),
     )
+
+
+def _traffic_of_parts(parts: DataFrame) -> DataFrame:
+    """Traffic rows of parts that have each user once per window and group."""
     rows = (
-        per_user.groupBy("window", *TRAFFIC_KEYS)
+        parts.groupBy("window", *TRAFFIC_KEYS)
         .agg(
             F.sum("visits").alias("visits"),
             F.count("user_id").alias("users"),
@@ -204,3 +249,36 @@ def traffic_analytics(events: DataFrame, window: str = "5 minutes") -> DataFrame
         .withColumn("conversion_rate", ratio(F.col("purchases"), F.col("visits")))
     )
     return _finish(rows, schemas.TRAFFIC)
+
+
+def traffic_analytics(events: DataFrame, window: str = "5 minutes") -> DataFrame:
+    """Visits, distinct users, purchases and revenue per window, country, source and device.
+
+    Both steps are plain aggregations, so the same exact plan runs on streams in append mode: the
+    first works per user, which also splits a busy group over all tasks.
+    """
+    return _traffic_of_parts(traffic_parts(events, window))
+
+
+def all_parts(events: DataFrame, window: str = "5 minutes") -> dict[str, DataFrame]:
+    """The parts of every metrics table."""
+    return {
+        "funnel_metrics": funnel_parts(events, window),
+        "product_performance": product_parts(events, window),
+        "traffic_analytics": traffic_parts(events, window),
+    }
+
+
+def merged_parts(table: str, parts: DataFrame) -> DataFrame:
+    """The metrics of a table from the parts of any number of event sets that share no event.
+
+    Sums and distinct ids of a window add up whatever set they came in, so the result equals the
+    metrics of all events together.
+    """
+    keys, sums, finish = {
+        "funnel_metrics": (["kind", "id"], FUNNEL_SUMS, _funnel_of_parts),
+        "product_performance": (["product_id", "category"], PRODUCT_SUMS, _product_of_parts),
+        "traffic_analytics": ([*TRAFFIC_KEYS, "user_id"], TRAFFIC_SUMS, _traffic_of_parts),
+    }[table]
+    once = parts.groupBy("window", *keys).agg(*[F.sum(name).alias(name) for name in sums])
+    return finish(once)

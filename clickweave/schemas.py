@@ -239,6 +239,14 @@ DEAD_LETTER = _struct(
     **_hour_fields(),
 )
 
+# Silver columns and why the event is listed: `delayed` (it counts in gold nevertheless), or `late`
+# (its window was closed, and no gold row counts it).
+LATE = _struct(
+    **{f.name: f.dataType for f in SILVER if f.name not in _hour_fields()},
+    late_reason=_S,
+    **_hour_fields(),
+)
+
 TABLES = {
     "bronze": BRONZE,
     "silver": SILVER,
@@ -246,5 +254,47 @@ TABLES = {
     "product_performance": PRODUCTS,
     "traffic_analytics": TRAFFIC,
     "dead_letter": DEAD_LETTER,
-    "late_events": SILVER,
+    "late_events": LATE,
+}
+
+# What batches add to the windows of each metrics table; see operators.windows for the measures.
+_BOUNDS = dict(window_start=_TS, window_end=_TS)
+PARTS = {
+    "funnel_metrics": _struct(
+        **_BOUNDS,
+        kind=_S,
+        id=_S,
+        page_views=_L,
+        product_views=_L,
+        add_to_carts=_L,
+        checkout_starts=_L,
+        purchases=_L,
+        cart_sum=_D,
+        cart_count=_L,
+        revenue=_D,
+        **_hour_fields(),
+    ),
+    "product_performance": _struct(
+        **_BOUNDS,
+        product_id=_S,
+        category=_S,
+        views=_L,
+        add_to_carts=_L,
+        purchases=_L,
+        revenue=_D,
+        **_hour_fields(),
+    ),
+    "traffic_analytics": _struct(
+        **_BOUNDS,
+        country=_S,
+        traffic_source=_S,
+        device=_S,
+        user_id=_S,
+        visits=_L,
+        purchases=_L,
+        revenue=_D,
+        **_hour_fields(),
+    ),
 }
+# The time before which windows are closed, as UTC text.
+SETTLED = _struct(settled_before=_S, **_hour_fields())

@@ -1,14 +1,14 @@
-"""Streaming metrics and sessions: state in the state store, one final row per window.
+"""Streaming metrics and sessions: streams of final rows from state, and gold alone from messages.
 
-Use these for steady high-volume traffic: each event is read once and late events are dropped at
-the watermark. The ingest query's refresh instead rereads the hours a batch touches, which also
-takes in late events; run one of the two for a lake, not both.
+`gold_streams` keep windows in the state store and drop events behind the watermark. `start_gold`
+and the ingest query add parts to the lake instead; run one of the two for a lake, not both.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +20,7 @@ from clickweave.operators import messages as msg
 from clickweave.operators import sessions, windows
 from clickweave.plans import layers
 from clickweave.sinks.lake import Lake
+from clickweave.streaming import ingest
 
 
 def clean_stream(messages: DataFrame, settings: Settings, as_of: Column | None = None) -> DataFrame:
@@ -79,21 +80,47 @@ def start_gold(
     settings: Settings | None = None,
     trigger: dict | None = None,
     as_of: Column | None = None,
-) -> list[StreamingQuery]:
-    """Start one query per gold table; each restarts on its own."""
+) -> StreamingQuery:
+    """Start one query from messages to all gold tables, without the layers before them.
+
+    Messages are read, decoded and deduplicated once. A window's metrics are final when its time
+    partition is settled, which is when it ended more than the watermark delay before the newest
+    arrival; events of settled time go to `late_events` with reason `late`, so each usable event is
+    either in its windows or listed there. A new checkpoint needs a new lake.
+    """
     settings = settings or Settings()
-    tables = gold_streams(clean_stream(messages, settings, as_of), settings.window)
-    return [
-        append_to(
-            rows,
-            lake.path(table),
-            f"{checkpoint.rstrip('/')}/{table}",
-            trigger or settings.trigger,
-            f"clickstream_{table}",
-            list(lake.partitions),
-        )
-        for table, rows in tables.items()
-    ]
+    ingest.check_window(settings)
+    now = F.col(ingest.ARRIVED) if as_of is None else as_of
+    decoded = msg.decode(messages).withColumn(ingest.INGESTED, F.current_timestamp())
+    events = decoded.filter(msg.is_parsed()).select("event.*", ingest.INGESTED, now.alias("now"))
+    usable = layers.usable_events(
+        events, F.col("now"), settings.max_age_days, settings.max_ahead_days
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        key = ingest.batch_key(batch, batch_id)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            latest = batch.agg(F.max("now").cast("string")).first()[0]
+            if latest is None:
+                return
+            late = ingest.add_gold(lake, batch, key, latest, settings, divert=True)
+            if late is not None:
+                rows = layers.silver_columns(late, F.col(ingest.INGESTED))
+                rows = rows.withColumn("late_reason", F.lit("late"))
+                lake.append(rows.drop(ingest.INGESTED, "now"), "late_events", key)
+        finally:
+            batch.unpersist()
+
+    return (
+        ingest.unseen(usable, settings.id_days)
+        .writeStream.foreachBatch(write)
+        .queryName("clickstream_gold")
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or settings.trigger))
+        .start()
+    )
 
 
 def gap_session_stream(events: DataFrame, watermark: str = "60 minutes") -> DataFrame:
