@@ -22,6 +22,7 @@ from clickweave.plans import layers, reports, serving
 from clickweave.session import materialize, scratch_dir, streaming_session
 from clickweave.sinks.lake import DAYS, Lake, hour_range
 from clickweave.sources import activity
+from clickweave.sources.messages import file_batch, file_stream
 from clickweave.streaming import ingest, metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,9 @@ TODAY = "2024-01-15"
 RANGE_AS_OF = "2024-01-20 00:00:00"
 HEALTH_AS_OF = "2024-01-31 00:05:00"
 SCHEMA_CHANGE_DAY = "2024-01-16"
+# How the log is cut into deliveries: the days between them, and the k of messages that come last.
+DELIVERY_DAYS = ("2024-01-11", "2024-01-21")
+HELD_BACK = (40, 41)
 ONCE = {"availableNow": True}
 
 
@@ -548,6 +552,12 @@ def stream_funnel(spark, sf_dir):
     return _comparable(_appended(spark, rows, "stream-funnel"))
 
 
+@query
+def stream_sliding(spark, sf_dir):
+    rows = windows.funnel_metrics_panes(_silver_stream(spark, sf_dir), "10 minutes", "5 minutes")
+    return _comparable(_appended(spark, rows, "stream-sliding"))
+
+
 @query
 def stream_products(spark, sf_dir):
     rows = windows.product_performance(_silver_stream(spark, sf_dir))
@@ -583,3 +593,72 @@ def stream_medallion(spark, sf_dir):
     ingest.start_ingest(messages, lake, f"{base}/checkpoint", trigger=ONCE).awaitTermination()
     tables = {name: lake.read(spark, name) for name in schemas.TABLES}
     return _comparable(serving.layer_health(tables))
+
+
+def _topic_in_three(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """The messages as three files that arrive one after the other.
+
+    The last also has messages held back from the first two, and second copies of the first file's
+    events, 30 days later and with times of then.
+    """
+    topic = f"{base}/topic"
+    log = _log(spark, sf_dir)
+    held = F.get_json_object("props", "$.k").cast("int").between(*HELD_BACK)
+    ends = [F.lit(day).cast("timestamp_ntz") for day in DELIVERY_DAYS]
+    again = log.filter(F.col("ts") < ends[0]).withColumn("ts", F.col("ts") + F.expr("interval 30 days"))
+    files = [
+        log.filter((F.col("ts") < ends[0]) & ~held),
+        log.filter((F.col("ts") >= ends[0]) & (F.col("ts") < ends[1]) & ~held),
+        log.filter((F.col("ts") >= ends[1]) | held).unionAll(again),
+    ]
+    for k, rows in enumerate(files):
+        # One file each, as the order of files is the order of arrival.
+        activity.messages(rows).coalesce(1).write.parquet(f"{topic}/delivery={k}")
+    return topic
+
+
+def _delivered_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """The lake after three batches of the ingest query, the second of them run once more."""
+    base = scratch_dir(spark, "delivered-lake")
+    topic = _topic_in_three(spark, sf_dir, base)
+    lake = Lake(f"{base}/lake", DAYS)
+    stream = file_stream(streaming_session(spark), topic, max_files_per_trigger=1)
+    query = ingest.start_ingest(stream, lake, f"{base}/checkpoint", trigger=ONCE)
+    query.awaitTermination()
+    second = msg.decode(file_batch(spark, f"{topic}/delivery=1"))
+    second = second.withColumn(ingest.INGESTED, F.current_timestamp())
+    ingest.write_batch(lake, Settings(), query_id=str(query.id))(second, 1)
+    return lake
+
+
+@query
+def stream_silver(spark, sf_dir):
+    silver = _delivered_lake(spark, sf_dir).read(spark, "silver")
+    return _comparable(silver.drop("ingestion_timestamp", "batch_id"))
+
+
+@query
+def stream_gold(spark, sf_dir):
+    return _comparable(_delivered_lake(spark, sf_dir).read(spark, "funnel_metrics"))
+
+
+@query
+def stream_late_split(spark, sf_dir):
+    """Events counted in windows and events listed as late, by the day they happened."""
+    base = scratch_dir(spark, "gold-lake")
+    lake = Lake(f"{base}/lake", DAYS)
+    topic = _topic_in_three(spark, sf_dir, base)
+    stream = file_stream(streaming_session(spark), topic, max_files_per_trigger=1)
+    metrics.start_gold(stream, lake, f"{base}/checkpoint", trigger=ONCE).awaitTermination()
+    traffic = lake.read(spark, "traffic_analytics")
+    counted = traffic.select(F.substring("window_start", 1, 10).alias("day"), "visits")
+    late = lake.read(spark, "late_events").filter("late_reason = 'late'")
+    late = late.select(F.col("event_date").cast("string").alias("day"), F.lit(None).alias("visits"))
+    return (
+        counted.unionAll(late)
+        .groupBy("day")
+        .agg(
+            F.coalesce(F.sum("visits"), F.lit(0)).alias("counted"),
+            F.count_if(F.col("visits").isNull()).alias("late"),
+        )
+    )

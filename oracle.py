@@ -100,6 +100,8 @@ ABSURD_QUANTITY = (85, 87)
 TRUNCATED = (90, 91)
 EMPTY_ID = (92, 93)
 TRUNCATED_LENGTH = 40
+# Messages held back until the last of three deliveries.
+HELD_BACK = (40, 41)
 
 
 def _list(values: list[str]) -> str:
@@ -679,6 +681,14 @@ FROM good GROUP BY 1, 2""",
         "stream_funnel": f"""WITH {EVENTS},
 windows AS ({_funnel('good')}),
 funnel AS ({_rates('windows', 300, f'WHERE w + INTERVAL 5 MINUTE <= {closed()}')})
+SELECT {ROUNDED_FUNNEL} FROM funnel""",
+        "stream_sliding": f"""WITH {EVENTS},
+twice AS (
+  SELECT *, time_bucket(INTERVAL 5 MINUTE, happened_at) - INTERVAL 5 MINUTE * back AS slot
+  FROM good, (VALUES (0), (1)) AS b(back)
+),
+windows AS ({_funnel('twice', 'slot')}),
+funnel AS ({_rates('windows', 600, f'WHERE w + INTERVAL 10 MINUTE <= {closed()}')})
 SELECT {ROUNDED_FUNNEL} FROM funnel""",
         "stream_products": f"""WITH {EVENTS}, products AS ({_products('good')})
 SELECT {ROUNDED_REVENUE} FROM products
@@ -689,6 +699,24 @@ SELECT {ROUNDED_REVENUE} FROM traffic WHERE CAST(window_end AS TIMESTAMP) <= {cl
 SELECT event_id, event_time, event_type, cart_value FROM silver""",
         "stream_gap_sessions": f"""WITH {GAP_SESSIONS}
 WHERE last_at + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 60 MINUTE""",
+        "stream_silver": f"""WITH {DELIVERED}
+SELECT {COLUMNS}, CAST(happened_at AS VARCHAR) AS event_timestamp,
+  CAST(CAST(happened_at AS DATE) AS VARCHAR) AS event_date,
+  CAST(EXTRACT(hour FROM happened_at) AS INTEGER) AS event_hour, {FLAGS}, {_hour_columns('happened_at')}
+FROM silver""",
+        "stream_gold": f"WITH {LAYERS} SELECT {ROUNDED_FUNNEL} FROM funnel",
+        # Days are settled up to the one that the newest arrival of the first two deliveries, less
+        # the delay, falls in; what was held back until then comes late.
+        "stream_late_split": f"""WITH {DELIVERED},
+marked AS (SELECT *, {_between(HELD_BACK)} AS held FROM silver),
+settled AS (
+  SELECT date_trunc('day', max(arrived) - INTERVAL 60 MINUTE) AS before FROM marked
+  WHERE NOT held AND ts < TIMESTAMP '2024-01-21'
+)
+SELECT strftime(happened_at, '%Y-%m-%d') AS day,
+  count(*) FILTER (NOT (held AND happened_at < before)) AS counted,
+  count(*) FILTER (held AND happened_at < before) AS late
+FROM marked, settled GROUP BY 1""",
         "stream_medallion": f"""WITH {LAYERS} {LAYER_ROWS}
 UNION ALL SELECT 'dead_letter', count(*), NULL, NULL FROM message WHERE {REASON} IS NOT NULL
 UNION ALL SELECT 'late_events', count(*), NULL, NULL FROM silver
