@@ -24,6 +24,7 @@ from clickweave.sinks.lake import DAYS, Lake, hour_range
 from clickweave.sources import activity
 from clickweave.sources.messages import file_batch, file_stream
 from clickweave.streaming import ingest, metrics
+from clickweave.streaming import sessions as session_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -558,6 +559,39 @@ def stream_sliding(spark, sf_dir):
     return _comparable(_appended(spark, rows, "stream-sliding"))
 
 
+def _stream_in_three(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean events as a stream of three files; around each border events come out of order."""
+    base = scratch_dir(spark, "log-in-three")
+    log = _log(spark, sf_dir)
+    delay = F.make_dt_interval(mins=F.get_json_object("props", "$.k").cast("int") % 30)
+    ends = [F.lit(f"{day} 12:00:00").cast("timestamp_ntz") for day in DELIVERY_DAYS]
+    number = F.when(F.col("ts") + delay < ends[0], 0).when(F.col("ts") + delay < ends[1], 1)
+    for k in range(3):
+        rows = log.filter(F.coalesce(number, F.lit(2)) == k)
+        rows.coalesce(1).write.parquet(f"{base}/log/delivery={k}")
+    reader = streaming_session(spark).readStream.schema(log.schema).option("maxFilesPerTrigger", 1)
+    events = _usable(activity.events(reader.parquet(f"{base}/log")))
+    return events.withWatermark("event_timestamp", Settings().watermark)
+
+
+@query
+def stream_transitions(spark, sf_dir):
+    steps = session_streams.session_steps(_stream_in_three(spark, sf_dir))
+    return _comparable(sessions.matrix_of(_appended(spark, steps, "stream-steps")))
+
+
+@query
+def stream_illegal_steps(spark, sf_dir):
+    steps = session_streams.session_steps(_stream_in_three(spark, sf_dir))
+    return _comparable(_appended(spark, sessions.illegal_of(steps), "stream-illegal"))
+
+
+@query
+def stream_running_cart(spark, sf_dir):
+    carts = session_streams.running_cart(_stream_in_three(spark, sf_dir))
+    return _comparable(_appended(spark, carts, "stream-cart"))
+
+
 @query
 def stream_products(spark, sf_dir):
     rows = windows.product_performance(_silver_stream(spark, sf_dir))

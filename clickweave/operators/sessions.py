@@ -84,9 +84,13 @@ def transition_matrix(
     events: DataFrame, slice_seconds: int = ordered.SLICE_SECONDS
 ) -> DataFrame:
     """How often each type follows each other type, and with what probability."""
+    return matrix_of(session_steps(events, slice_seconds))
+
+
+def matrix_of(steps: DataFrame) -> DataFrame:
+    """The transition matrix of steps, those of a batch or those a stream has written."""
     counts = (
-        session_steps(events, slice_seconds)
-        .filter(F.col("from_type").isNotNull())
+        steps.filter(F.col("from_type").isNotNull())
         .groupBy("from_type", "to_type")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -98,10 +102,15 @@ def illegal_transitions(
     events: DataFrame, slice_seconds: int = ordered.SLICE_SECONDS
 ) -> DataFrame:
     """Steps the rule table does not allow, and sessions not starting with a page view."""
+    return illegal_of(session_steps(events, slice_seconds))
+
+
+def illegal_of(steps: DataFrame) -> DataFrame:
+    """The illegal ones of steps; on a stream as they come, since the rules are a small table."""
     allowed = [(a, b) for a, following in schemas.TRANSITIONS.items() for b in following]
     allowed.append((SESSION_START, "page_view"))
-    rules = events.sparkSession.createDataFrame(allowed, "after string, to_type string")
-    steps = session_steps(events, slice_seconds).withColumn(
+    rules = steps.sparkSession.createDataFrame(allowed, "after string, to_type string")
+    steps = steps.withColumn(
         "after", F.coalesce("from_type", F.lit(SESSION_START))
     )
     return steps.join(F.broadcast(rules), ["after", "to_type"], "left_anti").select(

@@ -682,6 +682,26 @@ FROM good GROUP BY 1, 2""",
 windows AS ({_funnel('good')}),
 funnel AS ({_rates('windows', 300, f'WHERE w + INTERVAL 5 MINUTE <= {closed()}')})
 SELECT {ROUNDED_FUNNEL} FROM funnel""",
+        # A stream gives the steps that its watermark has passed.
+        "stream_transitions": f"""WITH {STEPS},
+counts AS (SELECT from_type, to_type, count(*) AS n FROM steps
+           WHERE from_type IS NOT NULL AND happened_at < {closed()} GROUP BY 1, 2)
+SELECT from_type, to_type, n, round(n / CAST(sum(n) OVER (PARTITION BY from_type) AS BIGINT), 6)
+  AS probability FROM counts""",
+        "stream_illegal_steps": f"""WITH {STEPS}
+SELECT session_id, CAST(happened_at AS VARCHAR) AS event_timestamp, event_id, from_type, to_type
+FROM steps
+WHERE happened_at < {closed()}
+  AND ((from_type IS NULL AND to_type <> 'page_view')
+    OR (from_type IS NOT NULL AND (from_type, to_type) NOT IN ({ALLOWED})))""",
+        "stream_running_cart": f"""WITH RECURSIVE {CART},
+summed AS (
+  SELECT *, sum(amount) OVER (PARTITION BY session_id ORDER BY i) AS total FROM changed
+)
+SELECT session_id, CAST(happened_at AS VARCHAR) AS event_timestamp, event_id, event_type,
+  round(amount, 6) AS amount, quantity, items, round(total, 6) AS cart_value
+FROM summed
+WHERE happened_at < {closed("WHERE event_type IN ('add_to_cart', 'purchase', 'remove_from_cart')")}""",
         "stream_sliding": f"""WITH {EVENTS},
 twice AS (
   SELECT *, time_bucket(INTERVAL 5 MINUTE, happened_at) - INTERVAL 5 MINUTE * back AS slot
