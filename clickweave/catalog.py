@@ -157,6 +157,40 @@ def split_invalid_messages(spark, sf_dir):
     )
 
 
+def _odd_payloads(log: DataFrame) -> DataFrame:
+    """Messages of the log whose payloads are broken, empty, mistyped or ahead of the schema."""
+    n = F.col("event_id").cast("string")
+    edges = [
+        F.lit("{bad"),
+        F.lit("null"),
+        F.lit("[]"),
+        F.lit(""),
+        F.format_string('{"event_id":"%s","price":"9.5"}', n),
+        F.format_string('{"event_id":%s,"quantity":2.5}', n),
+        F.lit('{"event_id":"","price":2.5,"quantity":3}'),
+        F.format_string('{"event_id":"%s","price":NaN}', n),
+        F.format_string('{"event_id":"%s","price":1.5,"new_field":{"a":%s}}', n, n),
+    ]
+    value = F.get(F.array(*edges), (F.col("event_id") % len(edges)).cast("int"))
+    return log.select(F.col("event_id").alias("offset"), value.cast("binary").alias("value"))
+
+
+@query
+def payload_edges(spark, sf_dir):
+    """What becomes of odd payloads, and a field that the schema lacks, read from the VARIANT."""
+    decoded = msg.decode(_odd_payloads(_log(spark, sf_dir)))
+    rows = ops.clean_measures(
+        decoded.select(
+            F.col("offset").alias("kafka_offset"),
+            msg.is_parsed().alias("parsed"),
+            "event.*",
+            F.try_variant_get(msg.payload(), "$.new_field.a", "bigint").alias("new_field"),
+        )
+    )
+    measures_of = [F.when(F.col("parsed"), F.col(c)).alias(c) for c in ("price", "quantity")]
+    return rows.select("kafka_offset", "parsed", "event_id", *measures_of, "new_field")
+
+
 @query
 def message_counts(spark, sf_dir):
     return msg.message_counts(msg.decode(_messages(spark, sf_dir)))
@@ -349,6 +383,11 @@ def top_converting_products(spark, sf_dir):
     return _comparable(serving.top_converting_products(_products(spark, sf_dir)))
 
 
+@query
+def top_converting_overall(spark, sf_dir):
+    return _comparable(serving.top_converting_overall(_products(spark, sf_dir)))
+
+
 @query
 def layer_health(spark, sf_dir):
     return _comparable(serving.layer_health(_layers(spark, sf_dir)))
@@ -618,6 +657,13 @@ def stream_gap_sessions(spark, sf_dir):
     return _spans(_appended(spark, metrics.gap_session_stream(_plain(log)), "stream-sessions"))
 
 
+@query
+def stream_user_sessions(spark, sf_dir):
+    log = _plain(_log_stream(streaming_session(spark), sf_dir))
+    rows = session_streams.gap_sessions(log.withWatermark("event_timestamp", Settings().watermark))
+    return _spans(_appended(spark, rows, "stream-user-sessions"))
+
+
 @query
 def stream_medallion(spark, sf_dir):
     """All layers through the ingest query, as rows and freshness per layer."""

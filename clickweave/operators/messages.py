@@ -25,6 +25,14 @@ def decode(messages: DataFrame, schema: T.StructType = schemas.EVENT) -> DataFra
     return messages.select("*", F.explode(F.array(event)).alias("event"))
 
 
+def payload() -> Column:
+    """The whole payload as VARIANT, with the fields the schema does not have; NULL if it is no JSON.
+
+    A new field can be read from it before any schema knows it: `payload:new_field::string`.
+    """
+    return F.try_parse_json(F.col("value").cast("string"))
+
+
 def is_parsed() -> Column:
     return F.col("event.event_id").isNotNull()
 

@@ -113,7 +113,10 @@ def top_products_overall(products: DataFrame, limit: int = 10) -> DataFrame:
 
 
 def top_converting_products(products: DataFrame, among: int = 20, limit: int = 10) -> DataFrame:
-    """The best converting of the rows with largest revenue."""
+    """The best converting of the `among` rows with largest revenue, which a report shows.
+
+    `top_converting_overall` ranks all rows.
+    """
     return (
         products.orderBy(*_by("revenue"))
         .limit(among)
@@ -123,6 +126,12 @@ def top_converting_products(products: DataFrame, among: int = 20, limit: int = 1
     )
 
 
+def top_converting_overall(products: DataFrame, limit: int = 10) -> DataFrame:
+    """The best converting of all rows."""
+    best = products.orderBy(F.desc("conversion_rate"), *_by("revenue")).limit(limit)
+    return best.select(*PRODUCT_COLUMNS)
+
+
 def _rollup(rows: DataFrame, dimension: str, sums: dict[str, str]) -> DataFrame:
     return (
         rows.filter(F.col(dimension).isNotNull())

@@ -23,10 +23,8 @@ THREE_HOURS_OLD = (62, 63)
 NEGATIVE_CART = (70, 74)
 MISSING_PRICE = (80, 84)
 ABSURD_QUANTITY = (85, 87)
-TRUNCATED = (90, 91)
+UNTERMINATED = (90, 91)
 EMPTY_ID = (92, 93)
-TRUNCATED_LENGTH = 40
-WHOLE_LENGTH = 2**31 - 1
 
 
 def _k() -> Column:
@@ -159,10 +157,11 @@ def messages(log: DataFrame) -> DataFrame:
     extra = ["n", "u", "k", "ts", "copy"]
     fields = schemas.EVENT.fieldNames()
     value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    length = F.when(_in(TRUNCATED), TRUNCATED_LENGTH).otherwise(WHOLE_LENGTH)
+    # An object that is never closed.
+    opened = F.format_string('{"event_id":"%s","event_time":"%s"', "event_id", "event_time")
     return shaped.select(*fields, *extra).select(
         F.col("event_id").cast("binary").alias("key"),
-        F.substring(value, F.lit(1), length).cast("binary").alias("value"),
+        F.when(_in(UNTERMINATED), opened).otherwise(value).cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
         (F.col("u") % TOPIC_PARTITIONS).cast("int").alias("partition"),
         (F.col("n") * 2 + F.col("copy")).alias("offset"),

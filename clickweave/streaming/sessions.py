@@ -1,10 +1,13 @@
-"""Ordered session operators on a stream: steps between event types, and the running cart.
+"""Ordered session operators on a stream: steps between event types, the running cart, gap sessions.
 
 Micro-batches bring the events of a session in any order. A session's events wait in a list in the
 state store until the watermark has passed them; then they are taken in the order of their stated
 time and id, the same order the batch operators use. What is kept of a session beyond that is what
 its next event needs: the type of the last one, or the cart as a stack with one entry per level.
 
+Gap sessions are put together from buckets, not events, so a user of very many events has a few rows
+in the task that orders them.
+
 Events behind the watermark are dropped by the operator; `metrics.late_rows` lists them. A session's
 waiting events, those of one watermark delay, are sorted in one task.
 """
@@ -150,3 +153,89 @@ def running_cart(events: DataFrame) -> DataFrame:
     """`sessions.running_cart` of a stream with a watermark on event_timestamp, in append mode."""
     kinds = ["add_to_cart", "purchase", "remove_from_cart"]
     return _run(events.filter(F.col("event_type").isin(kinds)), _Cart())
+
+
+class _Gaps(StatefulProcessor):
+    """Joins the buckets of a user, which come in the order of time, to sessions."""
+
+    SCHEMA = "user_id {kind}, first_at bigint, last_at bigint, events bigint"
+
+    def __init__(self, gap_micros: int):
+        self.gap = gap_micros
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState(
+            "open", "first_at bigint, last_at bigint, events bigint, closes bigint"
+        )
+
+    def _closes(self, last: int) -> int:
+        """When the bucket that a next event could be in is over too, in milliseconds."""
+        return ((last + self.gap) // self.gap + 1) * self.gap // 1000
+
+    def _row(self, key: Any, first: int, last: int, events: int) -> Row:
+        return Row(user_id=key[0], first_at=first, last_at=last, events=events)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        buckets = sorted((r.first_at, r.last_at, r.events) for r in rows)
+        if not buckets:
+            return
+        current = None
+        if self.open.exists():
+            *current, closes = self.open.get()
+            self.handle.deleteTimer(closes)
+        for first, last, events in buckets:
+            if current is None:
+                current = [first, last, events]
+            elif first - current[1] > self.gap:
+                yield self._row(key, *current)
+                current = [first, last, events]
+            else:
+                current = [current[0], last, current[2] + events]
+        closes = self._closes(current[1])
+        self.open.update((*current, closes))
+        self.handle.registerTimer(closes)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        *current, _ = self.open.get()
+        self.open.clear()
+        yield self._row(key, *current)
+
+    def close(self) -> None:
+        pass
+
+
+def gap_sessions(
+    events: DataFrame,
+    user: str = "user_id",
+    ts: str = "event_timestamp",
+    gap_seconds: int = 1800,
+) -> DataFrame:
+    """`sessions.gap_sessions` of a stream with a watermark on `ts`, in append mode.
+
+    Two chained steps: buckets of the gap's length per user, which combine before the shuffle and
+    spread a busy user over its buckets; then sessions over one row per user and bucket. A session
+    comes out when the watermark has passed every bucket that could continue it.
+    """
+    bucket = F.window(ts, f"{gap_seconds} seconds").alias("bucket")
+    buckets = (
+        events.groupBy(bucket, F.col(user).alias("user_id"))
+        .agg(F.min(ts).alias("first"), F.max(ts).alias("last"), F.count(F.lit(1)).alias("events"))
+        .select(
+            "user_id",
+            F.window_time("bucket").alias("bucket_time"),
+            F.unix_micros("first").alias("first_at"),
+            F.unix_micros("last").alias("last_at"),
+            "events",
+        )
+    )
+    kind = events.schema[user].dataType.simpleString()
+    out = buckets.groupBy("user_id").transformWithState(
+        _Gaps(gap_seconds * 1_000_000), _Gaps.SCHEMA.format(kind=kind), "Append", "EventTime"
+    )
+    return out.select(
+        F.col("user_id").alias(user),
+        F.timestamp_micros("first_at").alias("session_start"),
+        F.timestamp_micros("last_at").alias("session_end"),
+        "events",
+    )

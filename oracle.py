@@ -97,9 +97,8 @@ THREE_HOURS_OLD = (62, 63)
 NEGATIVE_CART = (70, 74)
 MISSING_PRICE = (80, 84)
 ABSURD_QUANTITY = (85, 87)
-TRUNCATED = (90, 91)
+UNTERMINATED = (90, 91)
 EMPTY_ID = (92, 93)
-TRUNCATED_LENGTH = 40
 # Messages held back until the last of three deliveries.
 HELD_BACK = (40, 41)
 
@@ -194,15 +193,14 @@ message AS (
          CASE WHEN {_between(MISSING_PRICE)} THEN NULL ELSE value END AS price,
          CASE WHEN {_between(NEGATIVE_CART)} THEN 0 - value ELSE value END AS cart_value,
          CASE WHEN {_between(ABSURD_QUANTITY)} THEN -200 ELSE quantity END AS quantity,
-         {_between(TRUNCATED)} AS truncated, * EXCLUDE (n, value, quantity, happened)
+         {_between(UNTERMINATED)} AS unterminated, * EXCLUDE (n, value, quantity, happened)
   FROM stated
 ),
-parsed AS (SELECT * FROM message WHERE NOT truncated),
+parsed AS (SELECT * FROM message WHERE NOT unterminated),
 valid AS (SELECT * FROM parsed WHERE event_id <> '' AND event_type IN {TYPES}),
 raw_message AS (
-  SELECT *, substring('{{"event_id":"' || event_id || '","event_time":"' || event_time || '"',
-                      1, {TRUNCATED_LENGTH}) AS raw_value
-  FROM message WHERE truncated
+  SELECT *, '{{"event_id":"' || event_id || '","event_time":"' || event_time || '"' AS raw_value
+  FROM message WHERE unterminated
 ),
 in_range AS (
   SELECT * FROM valid WHERE happened_at BETWEEN arrived - INTERVAL 7 DAY AND arrived + INTERVAL 1 DAY
@@ -308,9 +306,9 @@ LAYER_ROWS = """
   UNION ALL SELECT 'product_performance', count(*), NULL, NULL FROM products
   UNION ALL SELECT 'traffic_analytics', count(*), NULL, NULL FROM traffic
 """
-PARSE_FAILURES = "UNION ALL SELECT 'dead_letter', count(*), NULL, NULL FROM message WHERE truncated"
+PARSE_FAILURES = "UNION ALL SELECT 'dead_letter', count(*), NULL, NULL FROM message WHERE unterminated"
 
-REASON = f"""CASE WHEN truncated THEN 'failed_parse' WHEN event_id = '' THEN 'missing_required'
+REASON = f"""CASE WHEN unterminated THEN 'failed_parse' WHEN event_id = '' THEN 'missing_required'
   WHEN event_type NOT IN {TYPES} THEN 'invalid_event_type'
   WHEN NOT happened_at BETWEEN arrived - INTERVAL 7 DAY AND arrived + INTERVAL 1 DAY
   THEN 'out_of_range' END"""
@@ -403,9 +401,18 @@ def statements() -> dict[str, str]:
         "decode_json_messages": f"WITH {DELIVERED} SELECT {COLUMNS} FROM parsed",
         "split_invalid_messages": f"""WITH {DELIVERED}
 SELECT event_id AS raw_key, raw_value, kafka_partition, kafka_offset FROM raw_message""",
+        # The payload of each event by its id modulo 9; the values follow from the rules of decoding.
+        "payload_edges": """
+SELECT event_id AS kafka_offset, event_id % 9 >= 4 AS parsed,
+  CASE WHEN event_id % 9 = 6 THEN '' WHEN event_id % 9 >= 4 THEN CAST(event_id AS VARCHAR) END AS event_id,
+  CASE event_id % 9 WHEN 6 THEN 2.5 WHEN 8 THEN 1.5 WHEN 4 THEN 0.0 WHEN 5 THEN 0.0 WHEN 7 THEN 0.0 END
+    AS price,
+  CASE event_id % 9 WHEN 6 THEN 3 WHEN 4 THEN 0 WHEN 5 THEN 0 WHEN 7 THEN 0 WHEN 8 THEN 0 END AS quantity,
+  CASE WHEN event_id % 9 = 8 THEN event_id END AS new_field
+FROM events""",
         "message_counts": f"""WITH {DELIVERED}
-SELECT count(*) AS total, count(*) FILTER (NOT truncated) AS valid,
-       count(*) FILTER (truncated) AS invalid FROM message""",
+SELECT count(*) AS total, count(*) FILTER (NOT unterminated) AS valid,
+       count(*) FILTER (unterminated) AS invalid FROM message""",
         "parse_event_time": f"""WITH {EVENTS}
 SELECT event_id, event_time, CAST(happened_at AS VARCHAR) AS event_timestamp FROM ev""",
         "partition_columns": f"WITH {EVENTS} SELECT event_id, {_hour_columns('happened_at')} FROM ev",
@@ -528,6 +535,11 @@ best AS (SELECT * FROM products
 SELECT product_id, category, views, add_to_carts, purchases, round(revenue, 6) AS revenue,
   round(conversion_rate, 6) AS conversion_rate
 FROM best ORDER BY conversion_rate DESC, revenue DESC NULLS LAST, product_id, window_start
+LIMIT 10""",
+        "top_converting_overall": f"""WITH {GOLD}
+SELECT product_id, category, views, add_to_carts, purchases, round(revenue, 6) AS revenue,
+  round(conversion_rate, 6) AS conversion_rate
+FROM products ORDER BY conversion_rate DESC, revenue DESC NULLS LAST, product_id, window_start
 LIMIT 10""",
         "layer_health": f"WITH {LAYERS} {LAYER_ROWS} {PARSE_FAILURES}",
         "lake_summary": f"""WITH {LAYERS},
@@ -536,7 +548,7 @@ counts AS (SELECT
   (SELECT count(*) FROM funnel) AS gold_funnel_count,
   (SELECT count(*) FROM products) AS gold_product_count,
   (SELECT count(*) FROM traffic) AS gold_traffic_count,
-  (SELECT count(*) FROM message WHERE truncated) AS dead_letter_count)
+  (SELECT count(*) FROM message WHERE unterminated) AS dead_letter_count)
 SELECT *, (SELECT round(max(events_per_second), 2) FROM funnel) AS events_per_second,
   (SELECT max(event_time) FROM valid) AS latest_bronze_ts,
   (SELECT max(event_time) FROM silver) AS latest_silver_ts,
@@ -719,6 +731,10 @@ SELECT {ROUNDED_REVENUE} FROM traffic WHERE CAST(window_end AS TIMESTAMP) <= {cl
 SELECT event_id, event_time, event_type, cart_value FROM silver""",
         "stream_gap_sessions": f"""WITH {GAP_SESSIONS}
 WHERE last_at + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 60 MINUTE""",
+        # A session is over when every half hour that could continue it is.
+        "stream_user_sessions": f"""WITH {GAP_SESSIONS}
+WHERE ((epoch_us(last_at) + 1800000000) // 1800000000 + 1) * 1800000000
+  <= (SELECT epoch_us(max(ts)) FROM events) - 3600000000""",
         "stream_silver": f"""WITH {DELIVERED}
 SELECT {COLUMNS}, CAST(happened_at AS VARCHAR) AS event_timestamp,
   CAST(CAST(happened_at AS DATE) AS VARCHAR) AS event_date,

@@ -190,3 +190,21 @@ def test_a_batch_outside_of_a_query_needs_its_id(spark, tmp_path):
     )
     with pytest.raises(ValueError, match="query_id"):
         ingest.write_batch(Lake(str(tmp_path)), SETTINGS)(msg.decode(rows), 0)
+
+
+def test_bronze_with_every_row_and_the_payload(spark, tmp_path):
+    topic, lake = str(tmp_path / "topic"), Lake(str(tmp_path / "lake"), DAYS)
+    new = message({**event("a", 0), "coupon": {"code": "SAVE"}}, 0, 5)
+    _deliver(spark, topic, new, message(event("", 1), 1, 6), message("{bad", 2, 7))
+    stream = file_stream(streaming_session(spark), topic)
+    ingest.start_ingest(
+        stream, lake, str(tmp_path / "c"), SETTINGS, ONCE, every_row=True, keep_payload=True
+    ).awaitTermination()
+    bronze = lake.read(spark, "bronze", evolved=True)
+    code = F.variant_get("payload", "$.coupon.code", "string").alias("code")
+    assert rows_of(bronze.select("event_id", "is_valid", code)) == [
+        ("", False, None),
+        ("a", True, "SAVE"),
+    ]
+    assert "payload" not in lake.read(spark, "bronze").columns
+    assert rows_of(lake.read(spark, "silver"), "event_id") == [("a",)]

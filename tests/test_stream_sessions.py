@@ -83,3 +83,45 @@ def test_illegal_steps_come_out_of_the_stream(spark, folder, tmp_path):
         spark, folder, tmp_path, lambda rows: batch.illegal_of(stream.session_steps(rows))
     )
     assert same(found, batch.illegal_of(expected))
+
+
+def _visits() -> list[dict]:
+    """Events over two days, a third of them of one user; many pauses near the gap's length."""
+    rng = random.Random(5)
+    rows, at = [], {}
+    for i in range(400):
+        user = "hot" if i % 3 == 0 else f"u{rng.randrange(8)}"
+        pause = rng.choice([60, 600, 1700, 1799, 1800, 1801, 1900, 4000])
+        at[user] = at.get(user, rng.randrange(900)) + (pause // 4 if user == "hot" else pause)
+        rows.append((at[user], event(f"v{i}", at[user], user_id=user, session_id="s")))
+    rows.append((200_000, event("last", 200_000, user_id="far")))
+    return [row for _, row in sorted(rows, key=lambda r: r[0] + rng.randrange(40 * 60))]
+
+
+def test_gap_sessions_from_buckets(spark, tmp_path):
+    rows = _visits()
+    path = str(tmp_path / "events")
+    for k in range(5):
+        part = silver_df(spark, rows[k * 81 : (k + 1) * 81])
+        part.coalesce(1).write.mode("append").parquet(path)
+    all_rows = spark.read.parquet(path)
+    assert all_rows.count() == len(rows)
+    found = _streamed(spark, path, tmp_path, stream.gap_sessions)
+    columns = ["user_id", "session_start", "session_end", "events"]
+    expected = batch.gap_sessions(all_rows).select(columns).filter("user_id != 'far'")
+    assert expected.count() > 60
+    assert same(found, expected)
+
+
+def test_a_busy_user_spreads_over_buckets(spark):
+    """A user with a third of all events leaves the largest share of the first shuffle near even."""
+    users = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 500)
+    at = (F.lit(1_700_000_000) + F.col("id") * 37).cast("timestamp")
+    rows = spark.range(30_000).select(users.alias("user_id"), at.alias("event_timestamp"))
+    bucket = F.window("event_timestamp", "30 minutes").alias("bucket")
+    buckets = rows.groupBy(bucket, "user_id").agg(F.count(F.lit(1)).alias("n"))
+    shares = buckets.groupBy(F.pmod(F.hash("bucket", "user_id"), F.lit(8)).alias("task"))
+    sizes = sorted(r["events"] for r in shares.agg(F.sum("n").alias("events")).collect())
+    assert len(sizes) == 8 and sizes[-1] < 2 * sizes[4]
+    hot = buckets.filter("user_id = -1").count()
+    assert hot < rows.filter("user_id = -1").count() / 10
