@@ -17,7 +17,7 @@ from clickweave.config import Settings
 from clickweave.functions import measures
 from clickweave.operators import events as ops
 from clickweave.operators import messages as msg
-from clickweave.operators import sessions, windows
+from clickweave.operators import sessions, sketches, windows
 from clickweave.plans import layers, reports, serving
 from clickweave.session import materialize, scratch_dir, streaming_session
 from clickweave.sinks.lake import DAYS, Lake, hour_range
@@ -320,6 +320,43 @@ def traffic_analytics(spark, sf_dir):
     return _comparable(_traffic(spark, sf_dir))
 
 
+@query
+def top_viewed_products(spark, sf_dir):
+    """The 20 products of most events over the whole log, from hourly states."""
+    return sketches.top_products_over(sketches.product_states(_silver(spark, sf_dir)))
+
+
+def _close(name: str) -> Column:
+    """Whether an estimate is within three standard errors of the exact number."""
+    bound = 3 * sketches.distinct_error() * F.col(name)
+    return (F.abs(F.col(f"estimated.{name}") - F.col(name)) <= bound).alias(f"{name}_close")
+
+
+def _against_exact(estimated: DataFrame, events: DataFrame) -> DataFrame:
+    """Exact distinct counts per day, and whether the estimates are close to them."""
+    exact = events.groupBy(F.window("event_timestamp", "1 day").alias("window")).agg(
+        F.count(F.lit(1)).alias("events"),
+        F.countDistinct("session_id").alias("sessions"),
+        F.countDistinct("user_id").alias("users"),
+    )
+    found = estimated.select("window", F.struct("sessions", "users").alias("estimated"))
+    return exact.join(found, "window").select(
+        F.date_format("window.start", "yyyy-MM-dd").alias("day"),
+        "events",
+        "sessions",
+        "users",
+        _close("sessions"),
+        _close("users"),
+    )
+
+
+@query
+def distinct_estimates(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    estimated = sketches.distinct_over(sketches.distinct_states(silver), "1 day")
+    return _against_exact(estimated, silver)
+
+
 # --- serving --------------------------------------------------------------------------------
 
 
@@ -664,6 +701,26 @@ def stream_user_sessions(spark, sf_dir):
     return _spans(_appended(spark, rows, "stream-user-sessions"))
 
 
+@query
+def stream_distinct(spark, sf_dir):
+    """Hourly states of an update-mode stream, the last of each hour, merged to days."""
+    base = scratch_dir(spark, "stream-distinct")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch", F.lit(batch_id)).write.parquet(
+            f"{base}/states/batch_id={batch_id}", mode="overwrite"
+        )
+
+    states = sketches.distinct_states(_stream_in_three(spark, sf_dir))
+    writer = states.writeStream.outputMode("update").foreachBatch(write).trigger(**ONCE)
+    writer.option("checkpointLocation", f"{base}/checkpoint").start().awaitTermination()
+    columns = ["events", "session_state", "user_state"]
+    last = F.max_by(F.struct(*columns), "batch").alias("last")
+    stored = spark.read.parquet(f"{base}/states").groupBy("window").agg(last)
+    estimated = sketches.distinct_over(stored.select("window", "last.*"), "1 day")
+    return _against_exact(estimated, _silver(spark, sf_dir))
+
+
 @query
 def stream_medallion(spark, sf_dir):
     """All layers through the ingest query, as rows and freshness per layer."""

@@ -396,6 +396,12 @@ changed AS (
 )"""
 
 
+# The estimates are bounded, not stated: three standard errors around the exact counts.
+DISTINCT_BY_DAY = """SELECT strftime(happened_at, '%Y-%m-%d') AS day, count(*) AS events,
+  count(DISTINCT session_id) AS sessions, count(DISTINCT user_id) AS users,
+  TRUE AS sessions_close, TRUE AS users_close FROM good GROUP BY 1"""
+
+
 def statements() -> dict[str, str]:
     sql = {
         "decode_json_messages": f"WITH {DELIVERED} SELECT {COLUMNS} FROM parsed",
@@ -468,6 +474,11 @@ funnel AS ({_rates('windows', 600)})
 SELECT {ROUNDED_FUNNEL} FROM funnel""",
         "product_performance": f"WITH {GOLD} SELECT {ROUNDED_REVENUE} FROM products",
         "traffic_analytics": f"WITH {GOLD} SELECT {ROUNDED_REVENUE} FROM traffic",
+        "top_viewed_products": f"""WITH {EVENTS}
+SELECT product_id, count(*) AS events FROM good WHERE product_id IS NOT NULL
+GROUP BY product_id ORDER BY events DESC, product_id LIMIT 20""",
+        "distinct_estimates": f"WITH {EVENTS} {DISTINCT_BY_DAY}",
+        "stream_distinct": f"WITH {EVENTS} {DISTINCT_BY_DAY}",
         "live_metrics": f"""WITH {GOLD}
 SELECT round(coalesce(avg(events_per_second), 0), 2) AS events_per_second,
   CAST(coalesce(sum(sessions), 0) AS BIGINT) AS active_sessions,
