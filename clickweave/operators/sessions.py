@@ -20,6 +20,7 @@ INSTANT = "_instant"
 ORDER = [INSTANT, "event_id"]
 PLACE = ["event_timestamp", "event_id"]
 SESSION_START = ""
+_SESSION_ITEMS = {"user": "user_id", "page": "page", "product": "product_id"}
 
 
 def add_instant(events: DataFrame) -> DataFrame:
@@ -28,29 +29,93 @@ def add_instant(events: DataFrame) -> DataFrame:
     return events.withColumn(INSTANT, F.coalesce(exact, F.col("event_timestamp")))
 
 
-def session_rollup(events: DataFrame) -> DataFrame:
-    """One row per session: span, depth, searches, purchase, distinct pages and products.
+def session_parts(events: DataFrame) -> DataFrame:
+    """What one set of events adds to its sessions: sums in a row of kind `event`, a row for each
+    distinct user, page and product, and the place of the last category view.
 
-    The pages and products themselves are in `session_items`, one row each.
+    Parts of several sets add up to the rollup of all their events. Only category views are compared
+    as texts and so sorted; all other events are added up by hash.
     """
     kind = F.col("event_type")
-    position = F.struct(*ORDER)
-    return add_instant(events).groupBy("session_id").agg(
-        F.min("user_id").alias("user_id"),
-        F.min("event_timestamp").alias("started_at"),
-        F.max("event_timestamp").alias("ended_at"),
-        F.count(F.lit(1)).alias("session_depth"),
-        count_of(kind, "search").alias("searches"),
-        F.coalesce(F.bool_or(kind == "purchase"), F.lit(False)).alias("has_purchased"),
-        F.countDistinct("page").alias("pages_visited"),
-        F.countDistinct("product_id").alias("products_viewed"),
+    entries = [F.struct(F.lit("event").alias("kind"), F.lit(None).cast("string").alias("id"))]
+    entries += [
+        F.struct(F.lit(name).alias("kind"), F.col(column).alias("id"))
+        for name, column in _SESSION_ITEMS.items()
+    ]
+    sums = (
+        events.select(
+            "session_id",
+            "event_type",
+            "event_timestamp",
+            F.explode(F.array(*entries)).alias("entry"),
+        )
+        .filter((F.col("entry.kind") == "event") | F.col("entry.id").isNotNull())
+        .groupBy("session_id", F.col("entry.kind").alias("kind"), F.col("entry.id").alias("id"))
+        .agg(
+            F.min("event_timestamp").alias("first_at"),
+            F.max("event_timestamp").alias("last_at"),
+            F.count(F.lit(1)).alias("events"),
+            count_of(kind, "search").alias("searches"),
+            count_of(kind, "purchase").alias("purchases"),
+        )
+        .withColumns(
+            {"place": F.lit(None).cast("bigint"), "event_id": F.lit(None).cast("string")}
+        )
+    )
+    views = add_instant(events.filter(kind == "category_view"))
+    last = F.struct(F.unix_micros(INSTANT).alias("place"), "event_id", "category")
+    none, zero = F.lit(None).cast("timestamp"), F.lit(0).cast("bigint")
+    categories = (
+        views.groupBy("session_id")
+        .agg(F.max(last).alias("last"))
+        .select(
+            "session_id",
+            F.lit("category").alias("kind"),
+            F.col("last.category").alias("id"),
+            none.alias("first_at"),
+            none.alias("last_at"),
+            *[zero.alias(name) for name in ("events", "searches", "purchases")],
+            "last.place",
+            "last.event_id",
+        )
+    )
+    return sums.unionByName(categories)
+
+
+def rollup_of(parts: DataFrame) -> DataFrame:
+    """The session rollup of the parts of any number of event sets that share no event."""
+    once = parts.groupBy("session_id", "kind", "id", "place", "event_id").agg(
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+        *[F.sum(name).alias(name) for name in ("events", "searches", "purchases")],
+    )
+
+    def of(kind: str, value: str) -> Column:
+        return F.when(F.col("kind") == kind, F.col(value))
+
+    return once.groupBy("session_id").agg(
+        F.min(of("user", "id")).alias("user_id"),
+        F.min(of("event", "first_at")).alias("started_at"),
+        F.max(of("event", "last_at")).alias("ended_at"),
+        F.sum(of("event", "events")).alias("session_depth"),
+        F.sum(of("event", "searches")).alias("searches"),
+        (F.sum(of("event", "purchases")) > 0).alias("has_purchased"),
+        F.count_if(F.col("kind") == "page").alias("pages_visited"),
+        F.count_if(F.col("kind") == "product").alias("products_viewed"),
         F.max_by(
-            F.when(kind == "category_view", F.col("category")),
-            F.when(kind == "category_view", position),
+            of("category", "id"), F.when(F.col("kind") == "category", F.struct("place", "event_id"))
         ).alias("last_category"),
     )
 
 
+def session_rollup(events: DataFrame) -> DataFrame:
+    """One row per session: span, depth, searches, purchase, distinct pages and products.
+
+    The pages and products themselves are in `session_items`, one row each.
+    """
+    return rollup_of(session_parts(events))
+
+
 def session_items(events: DataFrame, item: str) -> DataFrame:
     """Distinct values of `item` (page, product_id) per session, with first sight and count."""
     return (

@@ -296,5 +296,19 @@ PARTS = {
         **_hour_fields(),
     ),
 }
+# What batches add to their sessions; see operators.sessions.
+SESSION_PARTS = _struct(
+    session_id=_S,
+    kind=_S,
+    id=_S,
+    first_at=_TS,
+    last_at=_TS,
+    events=_L,
+    searches=_L,
+    purchases=_L,
+    place=_L,
+    event_id=_S,
+    **_hour_fields(),
+)
 # The time before which windows are closed, as UTC text.
 SETTLED = _struct(settled_before=_S, **_hour_fields())
