@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -378,6 +379,84 @@ def test_variants_are_told_apart(spark):
     assert sorted((r["doc_id"], r["license"]) for r in found) == want
 
 
+LICENSE_LINES = {
+    "Licensed under CC BY 4.0.": ["CC-BY-4.0 notice"],
+    "Licensed under CC BY-SA 4.0.": ["CC-BY-SA-4.0 notice"],
+    "Licensed under CC BY-NC-SA 4.0.": ["CC-BY-NC-SA-4.0 notice"],
+    "Licensed under CC BY-NC 3.0.": ["CC-BY-NC-3.0 notice"],
+    "Licensed under CC BY 2.0.": [],
+    "Licensed under the Apache License, Version 1.1.": [],
+    "Licensed under the Apache License, Version 2.0;": ["Apache-2.0 notice"],
+    'released under the "MIT License".': ["MIT notice"],
+    "(Released under the MIT License)": ["MIT notice"],
+    "not released under the MIT License but": ["MIT notice"],  # words outside a match are not its own
+    "Redistribution and use in source and binary forms, with or without modification, are not permitted "
+    "provided that the following conditions are met:": [],
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": [
+        "CC-BY-SA-4.0 sentence"
+    ],
+    "This work is licensed under the GNU Lesser General Public License, version 2.": [],
+    license_scan.TEMPLATES["MPL-1.1 header"]: ["MPL-1.1 header"],
+    license_scan.TEMPLATES["MPL-2.0 header"].replace("v. 2.0", "v. 1.1").replace("MPL/2.0", "MPL"): [],
+    license_scan.TEMPLATES["MIT text"]: ["MIT text"],
+    license_scan.TEMPLATES["BSD-3-Clause text"]: ["BSD-3-Clause text"],
+    license_scan.TEMPLATES["BSD-2-Clause text"]: ["BSD-2-Clause text"],
+}
+
+
+def test_licenses_are_told_from_their_families(spark):
+    """Each alone, between other words, and as a comment with a sign before every line."""
+    shapes = ["{}", "left words {} right words"]
+    texts = [(shape.format(line), want) for line, want in LICENSE_LINES.items() for shape in shapes]
+    for sign in ("# ", " * ", "// "):
+        for line, want in LICENSE_LINES.items():
+            words = line.split()
+            lines = [" ".join(words[k : k + 9]) for k in range(0, len(words), 9)]
+            texts.append(("\n".join(sign + part for part in lines), want))
+    rows = [(k, text) for k, (text, _) in enumerate(texts)]
+    found = defaultdict(list)
+    for r in license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        found[r["doc_id"]].append(r["license"])
+        assert texts[r["doc_id"]][0][r["start"] : r["end"]].strip()
+    assert {k: found.get(k, []) for k in range(len(texts))} == {k: want for k, (_, want) in enumerate(texts)}
+
+
+@pytest.mark.parametrize("texts", [["a.b (c) d--", "", "...", "x"], ['"Q" *', "/ y/z", "é, (ü)!"], []])
+def test_punctuation_around_words_is_blanked(texts):
+    def plain(text):
+        kept = "".join(f" {w} " if w.isspace() else re.sub(r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$", "", w)
+                       for w in re.split(r"(\s+)", text))
+        return kept.split()
+
+    found = license_scan.bare(pa.array(texts, pa.string())).to_pylist()
+    assert [len(f) for f in found] == [len(t.encode()) for t in texts]
+    assert [f.decode().split() for f in found] == [plain(t) for t in texts]
+
+
+def _least_changes(template: list[str], words: list[str]) -> int:
+    """Most words in common order, the plain way."""
+    row = [0] * (len(words) + 1)
+    for t in template:
+        new = [0]
+        for j, w in enumerate(words):
+            new.append(row[j] + 1 if t == w else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def test_alignment_equals_brute_force():
+    rng = random.Random(8)
+    for _ in range(200):
+        template = [rng.randrange(1, 9) for _ in range(rng.randrange(1, 14))]
+        words = [rng.randrange(1, 9) for _ in range(rng.randrange(1, 16))]
+        n, first, last = license_scan.align(np.array(template), np.array(words), 0, band=20)
+        assert n == _least_changes(template, words)
+        if n:
+            assert n == _least_changes(template, words[first : last + 1])
+            assert n > _least_changes(template, words[first + 1 : last + 1])
+            assert n > _least_changes(template, words[first:last])
+
+
 def test_a_notice_inside_another_is_reported_once(spark):
     text = "Released under Released under the MIT License. the MIT License."
     docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
