@@ -14,7 +14,7 @@ import time
 from pathlib import Path
 
 from clickweave.catalog import QUERIES
-from clickweave.session import create_session
+from clickweave.session import create_session, delete_scratch
 
 HEADLINE = [
     "decode_json_messages",
@@ -72,6 +72,7 @@ def main() -> None:
         once(name)
         times = 1 if name.startswith("stream_") else runs
         seconds[name] = round(statistics.median(once(name) for _ in range(times)), 3)
+        delete_scratch(spark)
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     print(
         json.dumps(

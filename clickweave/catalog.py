@@ -98,11 +98,13 @@ def _traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    delivered = _delivered(spark, sf_dir)
+    # Decoded once, and silver made once, for the layers that start from them.
+    decoded = materialize(msg.decode(_messages(spark, sf_dir)), "decoded")
+    good, invalid = msg.split_decoded(decoded)
+    delivered = good.select("event.*", F.col("timestamp").alias("arrived"))
     arrived = F.col("arrived")
     silver = layers.silver_rows(delivered, arrived, arrived).drop("arrived")
     silver = materialize(silver, "silver")
-    _, invalid = msg.split_decoded(msg.decode(_messages(spark, sf_dir)))
     return {
         "bronze": layers.bronze_rows(delivered, arrived),
         "silver": silver,

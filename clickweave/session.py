@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,17 +48,38 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     return sibling
 
 
+#: Scratch folders named so far, by application.
+_SCRATCH: dict[str, list[str]] = defaultdict(list)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Only a local session without that setting falls back to a temporary folder. The folder stays,
+    as results may be read from it, until `delete_scratch`.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="clickweave-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _SCRATCH[spark.sparkContext.applicationId].append(path)
+    return path
+
+
+def delete_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this application has made; results that read them are gone then.
+
+    Returns how many there were. Call it between jobs, when what they gave has been written.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    deleted = 0
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        deleted += folder.getFileSystem(conf).delete(folder, True)
+    return deleted
 
 
 def materialize(rows: DataFrame, purpose: str) -> DataFrame:

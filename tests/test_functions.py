@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickweave.functions import measures, time
+from clickweave.session import delete_scratch, materialize
 
 
 def _map(spark, values, kind, function):
@@ -101,3 +102,14 @@ def test_conversion_band(spark):
     values = [0.0, 4.99, 5.0, 9.99, 10.0, 20.0, 20.1, 300.0, None]
     bands = _map(spark, values, "double", measures.conversion_band)
     assert bands == ["0-5", "0-5", "5-10", "5-10", "10-20", "10-20", "20+", "20+", "unknown"]
+
+
+def test_scratch_is_deleted_on_request_only(spark):
+    delete_scratch(spark)
+    rows = materialize(spark.range(5), "trial")
+    (path,) = {f.rsplit("/", 1)[0] for f in rows.inputFiles()}
+    assert rows.count() == 5
+    assert delete_scratch(spark) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path).count()
+    assert delete_scratch(spark) == 0
