@@ -111,9 +111,25 @@ def rollup_of(parts: DataFrame) -> DataFrame:
 def session_rollup(events: DataFrame) -> DataFrame:
     """One row per session: span, depth, searches, purchase, distinct pages and products.
 
-    The pages and products themselves are in `session_items`, one row each.
+    The pages and products themselves are in `session_items`, one row each. For events that come
+    batch by batch, add up `session_parts` with `rollup_of`.
     """
-    return rollup_of(session_parts(events))
+    kind = F.col("event_type")
+    position = F.struct(*ORDER)
+    return add_instant(events).groupBy("session_id").agg(
+        F.min("user_id").alias("user_id"),
+        F.min("event_timestamp").alias("started_at"),
+        F.max("event_timestamp").alias("ended_at"),
+        F.count(F.lit(1)).alias("session_depth"),
+        count_of(kind, "search").alias("searches"),
+        F.coalesce(F.bool_or(kind == "purchase"), F.lit(False)).alias("has_purchased"),
+        F.countDistinct("page").alias("pages_visited"),
+        F.countDistinct("product_id").alias("products_viewed"),
+        F.max_by(
+            F.when(kind == "category_view", F.col("category")),
+            F.when(kind == "category_view", position),
+        ).alias("last_category"),
+    )
 
 
 def session_items(events: DataFrame, item: str) -> DataFrame:
