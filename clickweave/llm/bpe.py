@@ -185,10 +185,10 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     pieces joined by spaces, as a tokenizer without decoder does). Null and empty text have no ids;
     repeated rows come out repeated; other columns are not read.
     """
-    n_parts = exchange.parts(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    n_parts = exchange.parts_of(rows)
     positions = exchange.mapped(rows, _positions, CHUNK_BYTES)
-    asked = exchange.send(rows, _words(n_parts), CHUNK_BYTES)
+    asked = exchange.send(rows, _words(n_parts), n_parts, CHUNK_BYTES)
     replies = exchange.answer(asked, _encode(tokenizer), positions)
     schema = "doc_id bigint, n_tokens bigint, ids binary, decoded string"
     return exchange.collect(replies, _join(tokenizer), schema)

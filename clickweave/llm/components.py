@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from clickweave.session import materialize
 
 ROUNDS = 60
+#: Keys with more than 1 / HOT of all rows are joined by broadcast.
+HOT = 1000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,7 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     `edges` has two columns `a` and `b`. Each round links all neighbours of a node to the smallest
     of them, larger ones first, then smaller ones; stars are left in the end. No node's neighbours
-    are gathered in a list, and every round is a table in the checkpoint folder.
+    are gathered in a list or sent to one task, and every round is a table in the checkpoint folder.
     """
     links = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     links = materialize(links.distinct(), "links")
@@ -34,14 +36,28 @@ def components(edges: DataFrame) -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(roots)
 
 
+def with_least(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """`rows` with the smallest `value` of their key as `least`.
+
+    Keys with more than one row in HOT, of which there are fewer than HOT, are broadcast; the other
+    keys are joined by a shuffle. So no task gets the rows of a key that many rows share.
+    """
+    found = rows.groupBy(key).agg(F.min(value).alias("least"), F.count("*").alias("n"))
+    found = materialize(found, "least")
+    limit = (found.agg(F.sum("n")).first()[0] or 0) / HOT
+    hot = found.where(F.col("n") > limit).select(key, F.col("least").alias("hot_least"))
+    marked = rows.join(F.broadcast(hot), key, "left")
+    cold = found.where(F.col("n") <= limit).select(key, "least")
+    rest = marked.where("hot_least IS NULL").drop("hot_least").join(cold, key)
+    shared = marked.where("hot_least IS NOT NULL").withColumnRenamed("hot_least", "least")
+    return shared.unionByName(rest)
+
+
 def _to_smallest(links: DataFrame, only: str | None) -> DataFrame:
     """Link the neighbours of each node, and the node itself, to the smallest of them all."""
-    smallest = links.groupBy("a").agg(F.min("b").alias("least")).withColumn(
-        "least", F.least("a", "least")
-    )
+    links = with_least(links, "a", "b").withColumn("least", F.least("a", "least"))
     if only is None:  # all neighbours are smaller
-        moved = links.join(smallest, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        own = smallest.select("a", F.col("least").alias("b"))
+        moved = links.select(F.col("b").alias("a"), F.col("least").alias("b"))
+        own = links.select("a", F.col("least").alias("b"))
         return moved.unionAll(own).where("a <> b").distinct()
-    moved = links.where(only).join(smallest, "a")
-    return moved.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    return links.where(only).select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()

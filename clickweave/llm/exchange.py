@@ -2,6 +2,8 @@
 
 A map task handles a chunk of documents at a time. Per chunk and target part it sends one row with a
 packed value, so a shuffle moves few rows and compact bytes. `chunk` names the sender for replies.
+There is a part for every PART_BYTES of input, and a task answers its parts one after the other, so
+what it holds at once does not grow with the input.
 Chunks follow the row order of their input, which must be the same when a lost task runs again, as
 it is for files.
 """
@@ -23,12 +25,21 @@ ARROW = pa.schema(
     [("part", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()), ("body", pa.binary())]
 )
 Row = tuple[int, int, int, bytes]
+#: Input behind one part: of text, about six million words, whose hashes and places are held at once.
+PART_BYTES = 32 << 20
 
 
 def parts(spark: SparkSession) -> int:
+    """Partitions of a shuffle."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def parts_of(rows: DataFrame, column: str = "text", part_bytes: int | None = None) -> int:
+    """Parts for all bytes of `column`, and at least one for each partition of a shuffle."""
+    size = rows.agg(F.sum(F.octet_length(column))).first()[0] or 0
+    return max(parts(rows.sparkSession), -(-size // (part_bytes or PART_BYTES)))
+
+
 def _batch(rows: list[Row]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
     return pa.RecordBatch.from_arrays(
@@ -55,12 +66,17 @@ def mapped(
 def send(
     docs: DataFrame,
     work: Callable[[int, pa.RecordBatch], Iterator[Row]],
+    n_parts: int,
     chunk_bytes: int = CHUNK_BYTES,
     column: str = "text",
 ) -> DataFrame:
-    """Deal the rows that `work` gives for each chunk out by part."""
+    """Deal the rows that `work` gives for each chunk out by part, `n_parts` in all."""
     rows = mapped(docs, work, chunk_bytes, column)
-    return rows.repartitionById(parts(docs.sparkSession), F.col("part"))
+    tasks = parts(docs.sparkSession)
+    if n_parts <= tasks:  # a part is a partition
+        return rows.repartitionById(tasks, F.col("part"))
+    dealt = rows.repartitionById(tasks, F.pmod("part", F.lit(tasks)))
+    return dealt.sortWithinPartitions("part")
 
 
 def answer(
@@ -69,7 +85,7 @@ def answer(
     own: DataFrame | None = None,
     merge: bool = False,
 ) -> DataFrame:
-    """Run `work` over all rows of a part and bring its replies back together by chunk.
+    """Run `work` over all rows of each part and bring its replies back together by chunk.
 
     Rows of a kind other than 0 are passed on; `own` has more of them, which need no part. With
     `merge` adaptive execution may put small partitions of replies together, so that a table written
@@ -80,11 +96,16 @@ def answer(
         mine: list[Row] = []
         for batch in batches:
             rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
-            mine += [r for r in rows if r[2] == 0]
             if other := [r for r in rows if r[2] != 0]:
                 yield _batch(other)
-        for row in work(mine):
-            yield _batch([row])
+            for row in rows:
+                if row[2] != 0:
+                    continue
+                if mine and row[0] != mine[0][0]:
+                    yield from (_batch([reply]) for reply in work(mine))
+                    mine = []
+                mine.append(row)
+        yield from (_batch([reply]) for reply in work(mine))
 
     spark = sent.sparkSession
     replies = sent.mapInArrow(task, SCHEMA)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.llm import exchange
-from clickweave.llm.components import components
+from clickweave.llm.components import components, with_least
 from clickweave.llm.words import Words, mix, pack, runs, unpack
 from clickweave.session import materialize
 
@@ -237,9 +237,9 @@ def _rarest(n_parts: int):
 
 def prefixes(sets: DataFrame) -> DataFrame:
     """The rarest shingles of each class, as many as a linked class must share one of."""
-    n_parts = exchange.parts(sets.sparkSession)
+    n_parts = exchange.parts_of(sets, "shingles")
     own = exchange.mapped(sets, _own_sets, column="shingles")
-    asked = exchange.send(sets, _ask_counts(n_parts), column="shingles")
+    asked = exchange.send(sets, _ask_counts(n_parts), n_parts, column="shingles")
     replies = exchange.answer(asked, _add_counts, own, merge=True)
     return exchange.collect(replies, _rarest(n_parts), PREFIXES)
 
@@ -304,9 +304,8 @@ def class_links(sets: DataFrame, block: int = BLOCK) -> DataFrame:
     tokens = materialize(prefixes(sets), "prefixes").select(
         "class", F.explode("prefix").alias("token")
     )
-    hubs = tokens.groupBy("token").agg(F.min("class").alias("hub"), F.max("class").alias("last"))
-    edges = tokens.join(hubs.where("hub <> last"), "token").where("class <> hub")
-    edges = edges.select(F.col("class").alias("a"), F.col("hub").alias("b"))
+    hubs = with_least(tokens, "token", "class")
+    edges = hubs.where("class <> least").select(F.col("class").alias("a"), F.col("least").alias("b"))
     families = materialize(
         components(edges).withColumnsRenamed({"node": "class", "root": "family"}), "families"
     )
@@ -341,10 +340,11 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     texts have no shingles and are their own component. Rows without doc_id link nothing and have no
     component. Repeated rows and ids are rows of their own. Other columns are not read.
     """
-    n_parts = exchange.parts(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     known = rows.where("doc_id IS NOT NULL")
-    replies = exchange.answer(exchange.send(known, _describe(n_parts)), _count_shared, merge=True)
+    n_parts = exchange.parts_of(known)
+    sent = exchange.send(known, _describe(n_parts), n_parts)
+    replies = exchange.answer(sent, _count_shared, merge=True)
     nodes = materialize(exchange.collect(replies, _judge, NODES), "nodes")
     leaders = nodes.where("candidate").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     sets = known.join(leaders, "doc_id").select("text", "class").mapInArrow(_load_sets, SETS)

@@ -1,10 +1,16 @@
 """Substring deduplication by relative Lempel-Ziv parsing.
 
 Every run of WINDOW words is indexed under its hash with the earliest document that has it; the
-index is dealt into blocks by hash. A document is factored against it greedily: a factor starts at
-the first window with an earlier source and grows while the next window's source is the next place
-of the same document. A window that begins inside a factor but runs past its end is looked up like
-any other, so nothing is lost at factor boundaries. Factors are the duplicate spans.
+index is dealt into blocks by hash. A document is factored against it greedily, from its first word
+on: where a window has an earlier source, the document's and the source's words are the same from
+there on for as long as the windows that name this source at this distance meet or overlap, whatever
+other sources the windows between them name. That is the factor. The next one is sought from the
+first window that runs past its end, so nothing is lost at factor boundaries. Factors are the duplicate
+spans; none lies inside the one before it.
+
+A window names one source, the earliest document at its first place there. So a factor is as long
+as its source allows, unless WINDOW windows in a row name others: there it is cut in two, with the
+others' factors between.
 
 A chunk settles its own repeats: only the earliest document of the chunk asks the index about a
 window, so a passage shared by very many documents sends one entry per chunk.
@@ -116,6 +122,32 @@ def _groups(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(keys[order[start]]), order[start:stop]
 
 
+def grow(
+    place: np.ndarray, own_doc: np.ndarray, docs: np.ndarray, inside: np.ndarray, window: int
+) -> list[np.ndarray]:
+    """Starts, ends, source documents and source starts of the factors, in order of their starts.
+
+    The windows at `place` of documents `own_doc` also start at word `inside` of documents `docs`.
+    Windows of one source at one distance that meet or overlap are a stretch of equal words, and
+    a stretch that ends no later than one that starts before it is no factor.
+    """
+    if not len(place):
+        return [np.zeros(0, np.int64)] * 4
+    distance = place - inside
+    order = np.lexsort((place, distance, docs, own_doc))
+    place, own_doc, docs, distance = (x[order] for x in (place, own_doc, docs, distance))
+    apart = (np.diff(own_doc) != 0) | (np.diff(docs) != 0) | (np.diff(distance) != 0)
+    first = np.flatnonzero(np.concatenate([[True], apart | (np.diff(place) > window)]))
+    last = np.concatenate([first[1:], [len(place)]]) - 1
+    starts, ends = place[first], place[last] + window
+    source_docs, source_starts = docs[first], starts - distance[first]
+    # No two documents share a place, so a stretch never reaches into the document after.
+    order = np.lexsort((-ends, starts))
+    reach = np.maximum.accumulate(np.concatenate([[-1], ends[order][:-1]]))
+    order = order[ends[order] > reach]
+    return [x[order] for x in (starts, ends, source_docs, source_starts)]
+
+
 def _factor(window: int):
     def work(own: bytes, replies: list[bytes]) -> pa.RecordBatch:
         kinds = (np.int64, np.int64, np.uint32, np.uint32, np.uint32)
@@ -127,25 +159,16 @@ def _factor(window: int):
         place = np.concatenate([found, *(a[0] for a in answers)]).astype(np.int64)
         docs = np.concatenate([ids[owner], *(a[1] for a in answers)])
         inside = np.concatenate([source - offsets[owner], *(a[2] for a in answers)]).astype(np.int64)
-        order = np.argsort(place)
-        place, docs, inside = place[order], docs[order], inside[order]
         own_doc = np.searchsorted(offsets, place, "right") - 1
-        grows = (
-            (np.diff(place) == 1)
-            & (np.diff(own_doc) == 0)
-            & (np.diff(docs) == 0)
-            & (np.diff(inside) == 1)
-        )
-        starts = np.flatnonzero(np.concatenate([[True], ~grows]))[: len(place)]
-        lengths = np.diff([*starts, len(place)]) + window - 1
-        doc = own_doc[starts]
+        starts, ends, source_docs, source_starts = grow(place, own_doc, docs, inside, window)
+        doc = np.searchsorted(offsets, starts, "right") - 1
         touched = runs(doc)
         factors = pa.StructArray.from_arrays(
             [
-                pa.array((place[starts] - offsets[doc]).astype(np.int32)),
-                pa.array(lengths[: len(starts)].astype(np.int32)),
-                pa.array(docs[starts].astype(np.int64)),
-                pa.array(inside[starts].astype(np.int32)),
+                pa.array((starts - offsets[doc]).astype(np.int32)),
+                pa.array((ends - starts).astype(np.int32)),
+                pa.array(source_docs.astype(np.int64)),
+                pa.array(source_starts.astype(np.int32)),
             ],
             fields=list(FACTOR),
         )
@@ -166,11 +189,11 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     One row per document and text that has any; word positions count from 0. Rows without doc_id
     are neither parsed nor sources.
     """
-    n_parts = exchange.parts(docs.sparkSession)
     rows = docs.where("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")
     )
-    sent = exchange.send(rows, _ask(n_parts, window))
+    n_parts = exchange.parts_of(rows)
+    sent = exchange.send(rows, _ask(n_parts, window), n_parts)
     return exchange.collect(exchange.answer(sent, _look_up), _factor(window), FACTORS)
 
 
