@@ -5,7 +5,8 @@ all norms equal and queries get a zero there. PROJECTIONS random lines each hold
 a sorted array. Around a query's own place on every line a window is opened; a point in at least
 THRESHOLD of the windows is a candidate, and its exact inner product is computed. Virtual rehashing
 widens all windows by GROWTH until enough points are candidates, at the latest when the windows hold
-the whole block. A query starts from the radius that the one before it needed.
+the whole block; only the places that a window newly reaches are read and counted, each once. A
+query starts from the radius that the one before it needed.
 
 Points are dealt into blocks by hash, and queries visit every block in batches; the best of each
 block are merged. Copies of a point share all windows, so a hot vector only adds candidates.
@@ -63,12 +64,9 @@ def _search_block(
     lifted = np.column_stack([unit, np.sqrt(np.maximum(squares.max() - squares, 0))])
     lines = _lines(width + 1)
     on_lines = lifted @ lines
-    columns = np.ascontiguousarray(np.sort(on_lines, axis=0).T)
-    small = np.uint16 if n < 1 << 16 else np.uint32
-    # A point lies in the window [low, high) of a sorted array exactly if its rank there does.
-    rank = np.empty((PROJECTIONS, n), small)
-    for j in range(PROJECTIONS):
-        rank[j] = np.searchsorted(columns[j], on_lines[:, j], "left")
+    placed = np.argsort(on_lines, axis=0, kind="stable")
+    columns = np.ascontiguousarray(np.take_along_axis(on_lines, placed, axis=0).T)
+    sorted_points = np.ascontiguousarray(placed.T)
     spread = np.maximum(on_lines.std(axis=0), 1e-12)
     # Queries are brought to the norm of the points; that does not change their order of points.
     at = queries / np.abs(queries).max(axis=1, keepdims=True)
@@ -78,11 +76,11 @@ def _search_block(
     opened: dict[int, list[np.ndarray]] = {}
 
     def windows(step: int) -> list[np.ndarray]:
-        """First and last rank of the windows of all queries on all lines."""
+        """First place in and first place after the windows of all queries, per query and line."""
         if step not in opened:
             half = FIRST * GROWTH**step * spread[:, None] + 1e-9
             opened[step] = [
-                np.array([np.searchsorted(c, v) for c, v in zip(columns, edge, strict=True)])
+                np.array([np.searchsorted(c, v) for c, v in zip(columns, edge, strict=True)]).T
                 for edge in (at.T - half, at.T + half)
             ]
         return opened[step]
@@ -90,10 +88,14 @@ def _search_block(
     step = 0
     for q in range(len(queries)):
         step = max(0, step - 1)  # one below where the query before ended
+        count = np.zeros(n, np.int64)
+        low = high = windows(step)[0][q]
         while True:
-            low, high = (edge[:, q] for edge in windows(step))
-            inside = (rank - low.astype(small)[:, None]) < (high - low).astype(small)[:, None]
-            count = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
+            wider_low, wider_high = (edge[q] for edge in windows(step))
+            reached = [p[a:b] for p, a, b in zip(sorted_points, wider_low, low, strict=True)]
+            reached += [p[a:b] for p, a, b in zip(sorted_points, high, wider_high, strict=True)]
+            count += np.bincount(np.concatenate(reached), minlength=n)
+            low, high = wider_low, wider_high
             candidates = np.flatnonzero(count >= THRESHOLD)
             if len(candidates) >= enough:
                 break
