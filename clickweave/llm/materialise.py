@@ -12,6 +12,7 @@ from the input, so lost or repeated tasks leave the same files.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -60,6 +61,11 @@ def _places(rows: pa.RecordBatch, length: int) -> np.ndarray:
     return -(-np.asarray(size, np.int64) // length)
 
 
+def _store(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path; Arrow knows Hadoop's names of S3 by one name."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+
+
 def _reserve(rows: DataFrame, length: int) -> dict[int, int]:
     """Places that each partition of the input reserves: one number per task."""
 
@@ -87,7 +93,7 @@ def write_shards(
     Tokens are little-endian unsigned 16-bit numbers, `length` per row; n_tokens of them are not
     padding. Null and empty text has no sequences; rows without doc_id and repeated rows are written
     like others; other columns are not read. The input must come in the same order whenever it is
-    read, as files do. Without rows no file is written.
+    read, as files do; two sequences at one place are an error. Without rows no file is written.
     """
     spark = docs.sparkSession
     folder = folder or scratch_dir(spark, "shards")
@@ -125,9 +131,9 @@ def write_shards(
                 )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = _store(folder)
         store.create_dir(root, recursive=True)
-        current, stream, row, partial = None, None, 0, ""
+        current, stream, row, partial, last = None, None, 0, "", None
 
         def finish() -> None:
             if stream is not None:
@@ -137,8 +143,12 @@ def write_shards(
         for batch in batches:
             shards = batch.column("shard").to_numpy()
             values = batch.column("tokens").to_pylist()
+            places = batch.column("place").to_pylist()
             numbers, checks, files = [], [], []
-            for shard, value in zip(shards.tolist(), values, strict=True):
+            for shard, place, value in zip(shards.tolist(), places, values, strict=True):
+                if place == last:
+                    raise RuntimeError("two sequences have one place; give an input of stable order")
+                last = place
                 if shard != current:
                     finish()
                     current, row = shard, 0
@@ -196,7 +206,7 @@ def write_shards(
 
 def read_rows(file: str, start: int = 0, length: int = LENGTH) -> Iterator[np.ndarray]:
     """Sequences of a shard file from row `start` on: a reader that stopped goes on from there."""
-    store, path = fs.FileSystem.from_uri(file)
+    store, path = _store(file)
     with store.open_input_file(path) as stream:
         stream.seek(start * 2 * length)
         while value := stream.read(2 * length):
