@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.llm import exchange
-from clickweave.llm.components import components
+from clickweave.llm.components import components, with_extremes
 from clickweave.llm.words import Words, mix, pack, runs, unpack
 from clickweave.session import materialize
 
@@ -304,9 +304,8 @@ def class_links(sets: DataFrame, block: int = BLOCK) -> DataFrame:
     tokens = materialize(prefixes(sets), "prefixes").select(
         "class", F.explode("prefix").alias("token")
     )
-    hubs = tokens.groupBy("token").agg(F.min("class").alias("hub"), F.max("class").alias("last"))
-    edges = tokens.join(hubs.where("hub <> last"), "token").where("class <> hub")
-    edges = edges.select(F.col("class").alias("a"), F.col("hub").alias("b"))
+    hubs = with_extremes(tokens, "token", "class").where("class <> least")
+    edges = hubs.select(F.col("class").alias("a"), F.col("least").alias("b"))
     families = materialize(
         components(edges).withColumnsRenamed({"node": "class", "root": "family"}), "families"
     )
