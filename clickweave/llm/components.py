@@ -41,7 +41,7 @@ def with_extremes(rows: DataFrame, key: str, value: str) -> DataFrame:
 
     A key is dealt over as many groups as its values hash to, so a key held by a third of all rows
     does not end in one task. Extremes go back to the groups that have rows, so no more of them
-    move than there are rows. Rows whose key or value is null are left out.
+    move than there are rows. Rows with a null key are left out.
     """
     salted = rows.withColumn("salt", F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int"))
     partial = salted.groupBy(key, "salt").agg(F.min(value).alias("least"), F.max(value).alias("most"))
