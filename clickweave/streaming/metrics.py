@@ -19,6 +19,7 @@ from clickweave.operators import events as ops
 from clickweave.operators import messages as msg
 from clickweave.operators import sessions, windows
 from clickweave.plans import layers
+from clickweave.session import adaptive
 from clickweave.sinks.lake import Lake
 from clickweave.streaming import ingest
 
@@ -98,6 +99,10 @@ def start_gold(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            write_adaptively(batch, batch_id)
+
+    def write_adaptively(batch: DataFrame, batch_id: int) -> None:
         key = ingest.batch_key(batch, batch_id)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
