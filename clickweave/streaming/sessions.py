@@ -1,15 +1,19 @@
 """Ordered session operators on a stream: steps between event types, the running cart, gap sessions.
 
-Micro-batches bring the events of a session in any order. A session's events wait in a list in the
-state store until the watermark has passed them; then they are taken in the order of their stated
-time and id, the same order the batch operators use. What is kept of a session beyond that is what
-its next event needs: the type of the last one, or the cart as a stack with one entry per level.
+Micro-batches bring the events of a session in any order. They wait in the state of a built-in
+aggregation, by the second they happened in, until the watermark has passed that second. Those that
+are due come out together and are taken in the order of their stated time and id, the same order the
+batch operators use. What is kept of a session beyond that is what its next event needs: the type of
+the last one, or the cart as a stack.
+
+Each access of a processor to its state is a message between processes. So sessions (users) are dealt
+by hash to GROUPS groups, whose state is read once and written once per batch that has rows of them.
 
 Gap sessions are put together from buckets, not events, so a user of very many events has a few rows
 in the task that orders them.
 
 Events behind the watermark are dropped by the operator; `metrics.late_rows` lists them. A session's
-waiting events, those of one watermark delay, are sorted in one task.
+events that become due together are sorted in one task.
 """
 
 from __future__ import annotations
@@ -17,55 +21,58 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from clickweave.operators import sessions
 
-_WAITING = "at bigint, event_id string, event_type string, amount double, quantity int"
+#: Sessions share a state entry with those of the same hash, of so many values. More of them make a
+#: batch that touches few sessions write less, and one that touches most of them send more messages.
+GROUPS = 1 << 12
+#: Levels of a cart kept with its totals; deeper ones have an entry each.
+TOP_LEVELS = 16
+
+_EVENT = ["at", "event_id", "event_type", "amount", "quantity"]
+
+
+def _group(name: str) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(GROUPS)).alias("group")
 
 
 class _InOrder(StatefulProcessor):
-    """Holds events back until they are due and gives them to `step` in order."""
+    """Gives the due events of each session of a group to `steps` in order.
+
+    KEPT are the fields kept of a session; `steps` returns the new ones.
+    """
+
+    KEPT = ""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", _WAITING)
-        self.timer = handle.getValueState("timer", "due bigint")
+        self.kept = handle.getValueState(
+            "kept", f"sessions array<struct<session_id: string, {self.KEPT}>>"
+        )
 
-    def step(self, key: Any, event: tuple) -> Row:
+    def steps(
+        self, session_id: str, kept: tuple | None, events: list[tuple], out: list[Row]
+    ) -> tuple:
         raise NotImplementedError
 
-    def _wake_at(self, due: int) -> None:
-        """Have one timer, at the first waiting event."""
-        if self.timer.exists():
-            earlier = self.timer.get()[0]
-            if earlier <= due:
-                return
-            self.handle.deleteTimer(earlier)
-        self.handle.registerTimer(due)
-        self.timer.update((due,))
-
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        events = [(r.at, r.event_id, r.event_type, r.amount, r.quantity) for r in rows]
-        for event in events:
-            self.waiting.appendValue(event)
-        if events:
-            self._wake_at(min(e[0] for e in events) // 1000)
-        return iter([])
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        due = timerValues.getCurrentWatermarkInMs() // 1000 * 1_000_000
-        events = sorted(self.waiting.get(), key=lambda e: (e[0], e[1]))
-        later = [e for e in events if e[0] >= due]
-        self.timer.clear()
-        self.waiting.clear()
-        if later:
-            self.waiting.put(later)
-            self._wake_at(later[0][0] // 1000)
-        for event in events[: len(events) - len(later)]:
-            yield self.step(key, event)
+        due: dict[str, list[tuple]] = {}
+        for r in rows:
+            event = tuple(r[name] for name in _EVENT)
+            due.setdefault(r["session_id"], []).extend([event] * r["copies"])
+        if not due:
+            return
+        found = self.kept.get()
+        kept = {session_id: rest for session_id, *rest in found[0]} if found else {}
+        out: list[Row] = []
+        for session_id, events in due.items():
+            events.sort(key=lambda e: (e[0], e[1]))
+            kept[session_id] = self.steps(session_id, kept.get(session_id), events, out)
+        self.kept.update(([(session_id, *rest) for session_id, rest in kept.items()],))
+        yield from out
 
     def close(self) -> None:
         pass
@@ -73,18 +80,24 @@ class _InOrder(StatefulProcessor):
 
 class _Steps(_InOrder):
     SCHEMA = "session_id string, at bigint, event_id string, from_type string, to_type string"
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.last = handle.getValueState("last", "event_type string")
-
-    def step(self, key: Any, event: tuple) -> Row:
-        at, event_id, to_type, *_ = event
-        from_type = self.last.get()[0] if self.last.exists() else None
-        self.last.update((to_type,))
-        return Row(
-            session_id=key[0], at=at, event_id=event_id, from_type=from_type, to_type=to_type
-        )
+    KEPT = "event_type: string"
+
+    def steps(
+        self, session_id: str, kept: tuple | None, events: list[tuple], out: list[Row]
+    ) -> tuple:
+        from_type = kept[0] if kept else None
+        for at, event_id, to_type, *_ in events:
+            out.append(
+                Row(
+                    session_id=session_id,
+                    at=at,
+                    event_id=event_id,
+                    from_type=from_type,
+                    to_type=to_type,
+                )
+            )
+            from_type = to_type
+        return (from_type,)
 
 
 class _Cart(_InOrder):
@@ -92,38 +105,54 @@ class _Cart(_InOrder):
         "session_id string, at bigint, event_id string, event_type string, amount double, "
         "quantity int, items bigint, cart_value double"
     )
+    KEPT = (
+        "items: bigint, cart_value: double, top: array<struct<amount: double, quantity: int>>"
+    )
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.total = handle.getValueState("total", "items bigint, cart_value double")
-        self.stack = handle.getMapState("stack", "level bigint", "amount double, quantity int")
-
-    def step(self, key: Any, event: tuple) -> Row:
-        at, event_id, event_type, amount, quantity = event
-        items, value = self.total.get() if self.total.exists() else (0, 0.0)
-        if event_type != "remove_from_cart":
-            items += 1
-            self.stack.updateValue((items,), (amount, quantity))
-        elif items:
-            top = self.stack.getValue((items,))
-            self.stack.removeKey((items,))
-            items -= 1
-            amount, quantity = (None if part is None else -part for part in top)
-        else:
-            amount, quantity = 0.0, 0
-        value += amount or 0.0
-        self.total.update((items, value))
-        return Row(
-            session_id=key[0],
-            at=at,
-            event_id=event_id,
-            event_type=event_type,
-            amount=amount,
-            quantity=quantity,
-            items=items,
-            cart_value=value,
+        self.deep = handle.getMapState(
+            "deep", "session_id string, level bigint", "amount double, quantity int"
         )
 
+    def _pop(self, session_id: str, level: int) -> tuple:
+        entry = self.deep.getValue((session_id, level))
+        self.deep.removeKey((session_id, level))
+        return entry
+
+    def steps(
+        self, session_id: str, kept: tuple | None, events: list[tuple], out: list[Row]
+    ) -> tuple:
+        items, value, top = kept or (0, 0.0, [])
+        top = [tuple(entry) for entry in top]  # the uppermost levels, the last one on top
+        for at, event_id, event_type, amount, quantity in events:
+            if event_type != "remove_from_cart":
+                items += 1
+                top.append((amount, quantity))
+            elif items:
+                entry = top.pop() if top else self._pop(session_id, items)
+                items -= 1
+                amount, quantity = (None if part is None else -part for part in entry)
+            else:
+                amount, quantity = 0.0, 0
+            value += amount or 0.0
+            out.append(
+                Row(
+                    session_id=session_id,
+                    at=at,
+                    event_id=event_id,
+                    event_type=event_type,
+                    amount=amount,
+                    quantity=quantity,
+                    items=items,
+                    cart_value=value,
+                )
+            )
+        lowest = items - len(top) + 1
+        for i in range(len(top) - TOP_LEVELS):
+            self.deep.updateValue((session_id, lowest + i), top[i])
+        return items, value, top[-TOP_LEVELS:]
+
 
 def _run(events: DataFrame, processor: _Steps | _Cart) -> DataFrame:
     worth = F.col("price") * F.col("quantity")
@@ -136,11 +165,15 @@ def _run(events: DataFrame, processor: _Steps | _Cart) -> DataFrame:
         worth.alias("amount"),
         "quantity",
     )
-    out = rows.groupBy("session_id").transformWithState(
-        processor, processor.SCHEMA, "Append", "EventTime"
+    second = F.window("event_timestamp", "1 second").alias("second")
+    due = (
+        rows.groupBy(second, "session_id", *_EVENT)
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .select(_group("session_id"), "session_id", "second", *_EVENT, "copies")
     )
+    out = due.groupBy("group").transformWithState(processor, processor.SCHEMA, "Append", "None")
     at = F.date_trunc("second", F.timestamp_micros("at"))
-    rest = [c for c in out.columns if c not in ("session_id", "at")]
+    rest = [c for c in out.columns if c not in ("group", "session_id", "at")]
     return out.select("session_id", at.alias("event_timestamp"), *rest)
 
 
@@ -156,50 +189,61 @@ def running_cart(events: DataFrame) -> DataFrame:
 
 
 class _Gaps(StatefulProcessor):
-    """Joins the buckets of a user, which come in the order of time, to sessions."""
+    """Joins the buckets of each user of a group, which come in the order of time, to sessions."""
 
     SCHEMA = "user_id {kind}, first_at bigint, last_at bigint, events bigint"
 
-    def __init__(self, gap_micros: int):
+    def __init__(self, gap_micros: int, kind: str):
         self.gap = gap_micros
+        self.kind = kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getValueState(
-            "open", "first_at bigint, last_at bigint, events bigint, closes bigint"
+            "open",
+            f"users array<struct<user_id: {self.kind}, first_at: bigint, last_at: bigint, "
+            "events: bigint, closes: bigint>>",
         )
 
     def _closes(self, last: int) -> int:
         """When the bucket that a next event could be in is over too, in milliseconds."""
         return ((last + self.gap) // self.gap + 1) * self.gap // 1000
 
-    def _row(self, key: Any, first: int, last: int, events: int) -> Row:
-        return Row(user_id=key[0], first_at=first, last_at=last, events=events)
+    def _row(self, user: Any, first: int, last: int, events: int, closes: int) -> Row:
+        return Row(user_id=user, first_at=first, last_at=last, events=events)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        buckets = sorted((r.first_at, r.last_at, r.events) for r in rows)
+        buckets = sorted((r.first_at, r.last_at, r.events, i, r.user_id) for i, r in enumerate(rows))
         if not buckets:
             return
-        current = None
-        if self.open.exists():
-            *current, closes = self.open.get()
-            self.handle.deleteTimer(closes)
-        for first, last, events in buckets:
-            if current is None:
-                current = [first, last, events]
-            elif first - current[1] > self.gap:
-                yield self._row(key, *current)
-                current = [first, last, events]
-            else:
-                current = [current[0], last, current[2] + events]
-        closes = self._closes(current[1])
-        self.open.update((*current, closes))
-        self.handle.registerTimer(closes)
+        found = self.open.get()
+        kept = {user: tuple(rest) for user, *rest in found[0]} if found else {}
+        known = {closes for *_, closes in kept.values()}
+        for first, last, events, _, user in buckets:
+            session = kept.get(user)
+            if session is not None:
+                if first - session[1] > self.gap:
+                    yield self._row(user, *session)
+                else:
+                    first, events = session[0], session[2] + events
+            kept[user] = (first, last, events, self._closes(last))
+        self.open.update(([(user, *rest) for user, rest in kept.items()],))
+        # A timer whose sessions have all been extended finds none to close.
+        for closes in {closes for *_, closes in kept.values()} - known:
+            self.handle.registerTimer(closes)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        *current, _ = self.open.get()
-        self.open.clear()
-        yield self._row(key, *current)
+        now, found = expiredTimerInfo.getExpiryTimeInMs(), self.open.get()
+        if not found:
+            return
+        later = [entry for entry in found[0] if entry[4] > now]
+        if later:
+            self.open.update(([tuple(entry) for entry in later],))
+        else:
+            self.open.clear()
+        for entry in found[0]:
+            if entry[4] <= now:
+                yield self._row(*entry)
 
     def close(self) -> None:
         pass
@@ -222,6 +266,7 @@ def gap_sessions(
         events.groupBy(bucket, F.col(user).alias("user_id"))
         .agg(F.min(ts).alias("first"), F.max(ts).alias("last"), F.count(F.lit(1)).alias("events"))
         .select(
+            _group("user_id"),
             "user_id",
             F.window_time("bucket").alias("bucket_time"),
             F.unix_micros("first").alias("first_at"),
@@ -230,8 +275,8 @@ def gap_sessions(
         )
     )
     kind = events.schema[user].dataType.simpleString()
-    out = buckets.groupBy("user_id").transformWithState(
-        _Gaps(gap_seconds * 1_000_000), _Gaps.SCHEMA.format(kind=kind), "Append", "EventTime"
+    out = buckets.groupBy("group").transformWithState(
+        _Gaps(gap_seconds * 1_000_000, kind), _Gaps.SCHEMA.format(kind=kind), "Append", "EventTime"
     )
     return out.select(
         F.col("user_id").alias(user),
