@@ -40,6 +40,11 @@ def _group(name: str) -> Column:
     return F.pmod(F.xxhash64(name), F.lit(GROUPS)).alias("group")
 
 
+def _plain(fields: list) -> tuple:
+    """Fields as read from state with tuples for their rows, as a Row inside cannot be stored again."""
+    return tuple([tuple(e) for e in f] if isinstance(f, list) else f for f in fields)
+
+
 class _InOrder(StatefulProcessor):
     """Gives the due events of each session of a group to `steps` in order.
 
@@ -66,7 +71,7 @@ class _InOrder(StatefulProcessor):
         if not due:
             return
         found = self.kept.get()
-        kept = {session_id: rest for session_id, *rest in found[0]} if found else {}
+        kept = {session_id: _plain(rest) for session_id, *rest in found[0]} if found else {}
         out: list[Row] = []
         for session_id, events in due.items():
             events.sort(key=lambda e: (e[0], e[1]))
