@@ -106,19 +106,35 @@ def start_gold(
         key = ingest.batch_key(batch, batch_id)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            latest = batch.agg(F.max("now").cast("string")).first()[0]
+            write_first(batch, key)
+        finally:
+            batch.unpersist()
+
+    def write_first(batch: DataFrame, key: str) -> None:
+        first = batch.filter(F.col(ingest.FIRST).isNotNull())
+        first = first.select(F.col(ingest.FIRST).alias("event_id"))
+        # Of the copies in a batch the earliest counts, in whatever order its files are read.
+        events = batch.filter(F.col(ingest.FIRST).isNull()).drop(ingest.FIRST)
+        once = ops.deduplicate(events, [F.col("event_timestamp"), F.col("now")])
+        new = once.join(first, "event_id", "left_semi").select(*once.columns)
+        new = new.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            latest = new.agg(F.max("now").cast("string")).first()[0]
             if latest is None:
                 return
-            late = ingest.add_gold(lake, batch, key, latest, settings, divert=True)
+            late = ingest.add_gold(lake, new, key, latest, settings, divert=True)
             if late is not None:
                 rows = layers.silver_columns(late, F.col(ingest.INGESTED))
                 rows = rows.withColumn("late_reason", F.lit("late"))
                 lake.append(rows.drop(ingest.INGESTED, "now"), "late_events", key)
         finally:
-            batch.unpersist()
+            new.unpersist()
 
+    ids = ingest.unseen(usable.select("event_id", ingest.INGESTED), settings.id_days)
+    first = ids.select(F.col("event_id").alias(ingest.FIRST))
+    stream = usable.withColumn(ingest.FIRST, F.lit(None).cast("string"))
     return (
-        ingest.unseen(usable, settings.id_days)
+        stream.unionByName(first, allowMissingColumns=True)
         .writeStream.foreachBatch(write)
         .queryName("clickstream_gold")
         .outputMode("update")

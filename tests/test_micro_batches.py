@@ -1,14 +1,19 @@
 """What micro-batches write, and in how many files and tasks."""
 
+import threading
 from pathlib import Path
 
+import pytest
+
+from clickweave import catalog
 from clickweave.session import streaming_session
-from clickweave.sinks.lake import DAYS, Lake
+from clickweave.sinks.lake import DAYS, Lake, side_by_side
 from clickweave.sources.messages import file_stream
 from clickweave.streaming import ingest, metrics
 from tests.helpers import event, message, messages_df
 
 ONCE = {"availableNow": True}
+DATA = "/root/testdata/sf0.001"
 
 
 def _stream(spark, tmp_path):
@@ -40,3 +45,45 @@ def test_gold_writes_one_file_per_small_folder(spark, tmp_path):
     for table in ("funnel_metrics_parts", "product_performance_parts", "traffic_analytics_parts"):
         assert _files(lake, table) in ([1], []), table
     assert _files(lake, "funnel_metrics_parts") == [1]
+
+
+def test_gold_counts_the_earliest_of_the_copies_in_a_batch_however_read(spark, tmp_path):
+    path, lake = str(tmp_path / "topic"), Lake(str(tmp_path / "lake"), DAYS)
+    rows = [event("e1", 7200), event("e2", 30), event("e1", 60)]
+    messages = messages_df(spark, [message(r, i, 7300) for i, r in enumerate(rows)])
+    messages.coalesce(1).write.parquet(path)
+    stream = file_stream(streaming_session(spark), path)
+    metrics.start_gold(stream, lake, str(tmp_path / "checkpoint"), trigger=ONCE).awaitTermination()
+    counted = lake.read(spark, "traffic_analytics").select("window_start", "visits").collect()
+    assert [tuple(r) for r in counted] == [("2024-03-01 10:00:00", 2)]
+
+
+def test_deliveries_of_many_files_are_batches_in_order(spark, tmp_path):
+    base, seen = str(tmp_path), []
+
+    def run(stream):
+        def note(batch, n):
+            seen.append((n, batch.count()))
+
+        writer = stream.writeStream.foreachBatch(note).trigger(**ONCE)
+        query = writer.option("checkpointLocation", f"{base}/checkpoint").start()
+        query.awaitTermination()
+        return query
+
+    topic, _ = catalog._topic_in_three(spark, DATA, base, run)
+    rows = [spark.read.parquet(f"{topic}/delivery={k}").count() for k in range(3)]
+    assert seen == list(enumerate(rows)) and min(rows) > 0
+    assert all(len(list(Path(topic, f"delivery={k}").glob("*.parquet"))) > 1 for k in range(3))
+
+
+def test_writes_side_by_side_all_run_and_raise():
+    both = threading.Barrier(2, timeout=20)
+    side_by_side([both.wait, both.wait])
+
+    def fail():
+        raise OSError("no space")
+
+    done = []
+    with pytest.raises(OSError, match="no space"):
+        side_by_side([fail, lambda: done.append(1)])
+    assert done == [1]
