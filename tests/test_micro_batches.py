@@ -4,6 +4,7 @@ import threading
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickweave import catalog
 from clickweave.session import streaming_session
@@ -87,3 +88,15 @@ def test_writes_side_by_side_all_run_and_raise():
     with pytest.raises(OSError, match="no space"):
         side_by_side([fail, lambda: done.append(1)])
     assert done == [1]
+
+
+def test_a_log_of_one_file_is_streamed_by_all_tasks(spark, tmp_path):
+    tasks = []
+
+    def note(batch, n):
+        tasks.append(batch.select(F.spark_partition_id()).distinct().count())
+
+    log = catalog._log_stream(streaming_session(spark), DATA)
+    writer = log.writeStream.foreachBatch(note).trigger(**ONCE)
+    writer.option("checkpointLocation", str(tmp_path / "checkpoint")).start().awaitTermination()
+    assert tasks == [4]
