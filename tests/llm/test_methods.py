@@ -17,6 +17,7 @@ from clickweave.llm import (
     materialise,
     mixing,
     neighbours,
+    quality,
     secret_scan,
     substring_dedup,
 )
@@ -266,3 +267,13 @@ def test_the_permutation_has_its_key():
     for k, place in enumerate(orders[0]):
         moved[place // 100, k // 100] += 1
     assert len(moved) > 95  # neighbours are dealt over the whole range
+
+
+def test_quality_fits_on_every_labelled_document(spark):
+    """A corpus that is trusted as a whole has the trusted counts, however many labels there are."""
+    docs = spark.range(20_100).select(F.col("id").alias("doc_id"), F.lit("good").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    weights = quality.slot_weights(docs, quality.labelled_sample(labels))
+    assert weights[xxhash.xxh64_intdigest("good", seed=42) % quality.SLOTS] == pytest.approx(0.0, abs=1e-12)
+    fitted = quality.labelled_slots(docs, quality.labelled_sample(labels))
+    assert fitted.count() == 20_100
