@@ -10,7 +10,8 @@ Each access of a processor to its state is a message between processes. So sessi
 by hash to GROUPS groups, whose state is read once and written once per batch that has rows of them.
 
 Gap sessions are put together from buckets, not events, so a user of very many events has a few rows
-in the task that orders them.
+in the task that orders them. These rows come as frames, and only the first and the last session of a
+user in a batch are compared with the state, row by row.
 
 Events behind the watermark are dropped by the operator; `metrics.late_rows` lists them. A session's
 events that become due together are sorted in one task.
@@ -21,6 +22,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -193,8 +196,16 @@ def running_cart(events: DataFrame) -> DataFrame:
     return _run(events.filter(F.col("event_type").isin(kinds)), _Cart())
 
 
+def _watermark(timerValues: Any) -> int:
+    return timerValues.getCurrentWatermarkInMs() if timerValues else -1
+
+
 class _Gaps(StatefulProcessor):
-    """Joins the buckets of each user of a group, which come in the order of time, to sessions."""
+    """Joins the buckets of each user of a group, which come in the order of time, to sessions.
+
+    What the watermark has passed when a batch ends comes out with it. Only the rest is stored and
+    gets timers.
+    """
 
     SCHEMA = "user_id {kind}, first_at bigint, last_at bigint, events bigint"
 
@@ -232,16 +243,26 @@ class _Gaps(StatefulProcessor):
                 else:
                     first, events = session[0], session[2] + events
             kept[user] = (first, last, events, self._closes(last))
-        self.open.update(([(user, *rest) for user, rest in kept.items()],))
-        # A timer whose sessions have all been extended finds none to close.
+        now = _watermark(timerValues)
+        for user in [user for user, (*_, closes) in kept.items() if closes <= now]:
+            yield self._row(user, *kept.pop(user))
+        if kept:
+            self.open.update(([(user, *rest) for user, rest in kept.items()],))
+        elif found:
+            self.open.clear()
+        # A timer whose sessions have all been extended or closed finds none to close.
         for closes in {closes for *_, closes in kept.values()} - known:
             self.handle.registerTimer(closes)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        now, found = expiredTimerInfo.getExpiryTimeInMs(), self.open.get()
+        # The first timer of a batch closes what the others are for, too.
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), _watermark(timerValues))
+        found = self.open.get()
         if not found:
             return
         later = [entry for entry in found[0] if entry[4] > now]
+        if len(later) == len(found[0]):
+            return
         if later:
             self.open.update(([tuple(entry) for entry in later],))
         else:
@@ -254,6 +275,57 @@ class _Gaps(StatefulProcessor):
         pass
 
 
+_SPAN = ["user_id", "first_at", "last_at", "events"]
+
+
+def _joined(spans: pd.DataFrame, gap_micros: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Sessions that the spans of users make among themselves.
+
+    First those between two others of their user, which no other span can reach, then each user's
+    first and last.
+    """
+    user = pd.factorize(spans["user_id"])[0]  # -1 for null, which is one user
+    order = np.lexsort((spans["first_at"].to_numpy(), user))
+    user, spans = user[order], spans.iloc[order]
+    first, last, events = (spans[name].to_numpy() for name in _SPAN[1:])
+    other = np.append(True, user[1:] != user[:-1])
+    starts = np.flatnonzero(other | np.append(True, first[1:] - last[:-1] > gap_micros))
+    found = pd.DataFrame(
+        {
+            "user_id": spans["user_id"].to_numpy()[starts],
+            "first_at": first[starts],
+            "last_at": last[np.append(starts[1:], len(last)) - 1],
+            "events": np.add.reduceat(events, starts),
+        }
+    )
+    ends = other[starts] | np.append(other[starts][1:], True)
+    return found[~ends], found[ends]
+
+
+class _GapFrames(_Gaps):
+    """`_Gaps` for frames of buckets: a Row costs many times what a row of a frame does.
+
+    Users are text, as numbers with nulls among them would become doubles in a frame.
+    """
+
+    def __init__(self, gap_micros: int):
+        super().__init__(gap_micros, "string")
+
+    def handleInputRows(
+        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
+    ) -> Iterator[pd.DataFrame]:
+        between, ends = _joined(pd.concat(rows), self.gap)
+        closed = super().handleInputRows(key, ends.itertuples(index=False), timerValues)
+        yield pd.concat([between, pd.DataFrame(closed, columns=_SPAN)])
+
+    def handleExpiredTimer(
+        self, key: Any, timerValues: Any, expiredTimerInfo: Any
+    ) -> Iterator[pd.DataFrame]:
+        closed = list(super().handleExpiredTimer(key, timerValues, expiredTimerInfo))
+        if closed:
+            yield pd.DataFrame(closed, columns=_SPAN)
+
+
 def gap_sessions(
     events: DataFrame,
     user: str = "user_id",
@@ -272,7 +344,7 @@ def gap_sessions(
         .agg(F.min(ts).alias("first"), F.max(ts).alias("last"), F.count(F.lit(1)).alias("events"))
         .select(
             _group("user_id"),
-            "user_id",
+            F.col("user_id").cast("string").alias("user_id"),
             F.window_time("bucket").alias("bucket_time"),
             F.unix_micros("first").alias("first_at"),
             F.unix_micros("last").alias("last_at"),
@@ -280,11 +352,12 @@ def gap_sessions(
         )
     )
     kind = events.schema[user].dataType.simpleString()
-    out = buckets.groupBy("group").transformWithState(
-        _Gaps(gap_seconds * 1_000_000, kind), _Gaps.SCHEMA.format(kind=kind), "Append", "EventTime"
+    processor = _GapFrames(gap_seconds * 1_000_000)
+    out = buckets.groupBy("group").transformWithStateInPandas(
+        processor, processor.SCHEMA.format(kind="string"), "Append", "EventTime"
     )
     return out.select(
-        F.col("user_id").alias(user),
+        F.col("user_id").cast(kind).alias(user),
         F.timestamp_micros("first_at").alias("session_start"),
         F.timestamp_micros("last_at").alias("session_end"),
         "events",

@@ -1,10 +1,18 @@
 """How often the ordered stream operators go to their state, and how a delivery's files arrive."""
 
+import random
+
+import pandas as pd
 from pyspark.sql import Row
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import TimerValues
 
 from clickweave import catalog
+from clickweave.operators import sessions as batch
 from clickweave.session import streaming_session
+from clickweave.streaming import metrics
 from clickweave.streaming import sessions as stream
+from tests.helpers import same
 
 
 class _State:
@@ -104,6 +112,102 @@ def test_gap_sessions_of_a_group_close_on_their_own_timers():
     assert handle.state.value is None
 
 
+def _bucket(user, at, events=1):
+    return Row(user_id=user, first_at=at * 10**6, last_at=at * 10**6, events=events)
+
+
+class _Expiry:
+    def __init__(self, at):
+        self.getExpiryTimeInMs = lambda: at
+
+
+def test_gap_sessions_that_are_over_need_no_state_and_no_timer():
+    handle, gaps = _Handle(), stream._Gaps(1800 * 10**6, "bigint")
+    gaps.init(handle)
+    rows = [_bucket(u, u * 1800) for u in range(100)]
+    out = list(gaps.handleInputRows((1,), iter(rows), TimerValues(-1, 10**9)))
+    assert sorted(r.user_id for r in out) == list(range(100))
+    assert handle.state.value is None and handle.state.calls == 1 and not handle.timers
+    # At the watermark itself a session is over, a millisecond before it is not.
+    rows = [_bucket(1, 0), _bucket(2, 1800)]
+    out = list(gaps.handleInputRows((1,), iter(rows), TimerValues(-1, 3_600_000)))
+    assert [r.user_id for r in out] == [1] and handle.timers == {5_400_000}
+    assert [entry[0] for entry in handle.state.value[0]] == [2]
+
+
+def test_one_timer_of_a_batch_closes_all_that_is_due_and_writes_once():
+    handle, gaps = _Handle(), stream._Gaps(1800 * 10**6, "bigint")
+    gaps.init(handle)
+    rows = [_bucket(u, u * 1800) for u in range(50)]
+    assert not list(gaps.handleInputRows((1,), iter(rows), TimerValues(-1, 0)))
+    timers, handle.state.calls = sorted(handle.timers), 0
+    now = timers[39]
+    closed = [
+        [r.user_id for r in gaps.handleExpiredTimer((1,), TimerValues(-1, now), _Expiry(at))]
+        for at in timers[:40]
+    ]
+    assert closed == [list(range(40)), *[[]] * 39]
+    assert handle.state.calls == 40 + 1  # a read per timer, one write
+    assert [entry[0] for entry in handle.state.value[0]] == list(range(40, 50))
+
+
+def _buckets(batches):
+    """Buckets of some users, one of them null, over several batches in the order of time."""
+    rng, users = random.Random(8), [None, *[str(2**53 + u) for u in range(6)]]
+    rows = sorted((rng.randrange(400) * 1800 + rng.randrange(1800), u) for u in range(7) for _ in range(90))
+    size = -(-len(rows) // batches)
+    return [
+        [_bucket(users[u], at, 1 + at % 3) for at, u in rows[k * size : (k + 1) * size]]
+        for k in range(batches)
+    ]
+
+
+def test_frames_of_buckets_give_the_sessions_of_rows_and_few_rows_meet_the_state(monkeypatch):
+    rows_gaps, frame_gaps = stream._Gaps(1800 * 10**6, "string"), stream._GapFrames(1800 * 10**6)
+    for gaps in (rows_gaps, frame_gaps):
+        gaps.init(_Handle())
+    met, join = [], stream._joined
+    monkeypatch.setattr(stream, "_joined", lambda *args: met.append(join(*args)) or met[-1])
+    for rows in _buckets(5):
+        now = TimerValues(-1, rows[-1].first_at // 1000 - 3_600_000)
+        wanted = list(rows_gaps.handleInputRows((1,), iter(rows), now))
+        shuffled = pd.DataFrame(random.Random(1).sample(rows, len(rows)), columns=stream._SPAN)
+        frames = frame_gaps.handleInputRows((1,), iter([shuffled[:50], shuffled[50:]]), now)
+        found = [tuple(r) for frame in frames for r in frame[stream._SPAN].to_numpy().tolist()]
+        assert sorted(found, key=repr) == sorted((tuple(r) for r in wanted), key=repr)
+        assert len(met[-1][1]) <= 2 * 7 < len(met[-1][0])
+        assert frame_gaps.handle.timers == rows_gaps.handle.timers
+    at = max(frame_gaps.handle.timers)
+    last = [
+        sorted(tuple(r) for r in pd.concat(frame_gaps.handleExpiredTimer((1,), None, _Expiry(at))).to_numpy()),
+        sorted(tuple(r) for r in rows_gaps.handleExpiredTimer((1,), None, _Expiry(at))),
+    ]
+    assert last[0] == last[1] != []
+
+
+def test_gap_sessions_of_null_and_long_users(spark, tmp_path):
+    rng, path = random.Random(2), str(tmp_path / "events")
+    users = [None, 2**53, 2**53 + 1, -(2**62) - 1, 0]
+    schema = "user_id bigint, seconds bigint"
+    for k in range(3):
+        part = [(rng.choice(users), k * 20_000 + rng.randrange(20_000)) for _ in range(60)]
+        rows = spark.createDataFrame([*part, (7, 90_000 * (k == 2))], schema)
+        rows.select("user_id", F.timestamp_seconds("seconds").alias("event_timestamp")).coalesce(
+            1
+        ).write.mode("append").parquet(path)
+    events = spark.read.parquet(path)
+    stored = streaming_session(spark).readStream.schema(events.schema).parquet(path)
+    found = stream.gap_sessions(stored.withWatermark("event_timestamp", "60 minutes"))
+    out = str(tmp_path / "out")
+    metrics.append_to(found, out, str(tmp_path / "checkpoint"), catalog.ONCE).awaitTermination()
+    found = spark.read.schema(found.schema).parquet(out)
+    columns = ["user_id", "session_start", "session_end", "events"]
+    wanted = batch.gap_sessions(events).select(columns)
+    wanted = wanted.filter(F.col("session_end") < F.timestamp_seconds(F.lit(90_000)))
+    assert wanted.count() > 50 and wanted.filter("user_id IS NULL").count() > 5
+    assert same(found, wanted)
+
+
 def test_a_delivery_of_many_files_is_one_batch(spark, tmp_path):
     folder, batches = str(tmp_path / "log"), []
     deliveries = [spark.range(k * 100, k * 100 + 100).repartition(4) for k in range(2)]
