@@ -41,7 +41,7 @@ def query(function: Query) -> Query:
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    return quality.quality_rules(docs, labels).drop("row")
+    return quality.quality_rules(docs, labels, columns=["doc_id"]).drop("row")
 
 
 @query

@@ -277,3 +277,53 @@ def test_quality_fits_on_every_labelled_document(spark):
     assert weights[xxhash.xxh64_intdigest("good", seed=42) % quality.SLOTS] == pytest.approx(0.0, abs=1e-12)
     fitted = quality.labelled_slots(docs, quality.labelled_sample(labels))
     assert fitted.count() == 20_100
+
+
+def test_quality_verdicts_read_the_scores_of_the_threshold(spark):
+    """Texts are worked through for the counts and once for scores, not again for the verdict."""
+    docs = spark.createDataFrame(
+        [(k, f"{'good' if k % 2 else 'bad'} word{k % 5} " * 15, "a") for k in range(40)], "doc_id long, text string, lang string"
+    )
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) quality").where("doc_id < 20")
+    found = quality.quality_rules(docs, labels)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "xxhash64" not in plan
+    assert sorted(r["row"]["lang"] + r["row"]["text"] for r in found.collect()) == sorted(
+        r["lang"] + r["text"] for r in docs.collect()
+    )
+
+
+def test_quality_counts_rows_without_id(spark):
+    """They belong to the corpus, never to the trusted, and one of two equal ids doesn't hide the other."""
+    rows = [(1, "x y"), (1, "x"), (2, "y"), (None, "x x z"), (None, None), (3, " "), (4, "\ty\n x ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, quality int")
+    weights = quality.slot_weights(docs, quality.labelled_sample(labels))
+
+    def slots(text):
+        words = [xxhash.xxh64_intdigest(w, seed=42) for w in (text or "").split()]
+        seeds = [xxhash.xxh64_intdigest(a.to_bytes(8, "little"), seed=42) for a in words]
+        pairs = [xxhash.xxh64_intdigest(b.to_bytes(8, "little"), seed=s) for s, b in zip(seeds, words[1:], strict=False)]
+        return [h % quality.SLOTS for h in words + pairs]
+
+    corpus = Counter(s for _, text in rows for s in slots(text))
+    trusted = Counter(s for doc_id, text in rows if doc_id == 1 for s in slots(text))
+    unseen = np.log((corpus.total() + quality.SLOTS) / (trusted.total() + quality.SLOTS))
+    want = [unseen + np.log((trusted[s] + 1) / (corpus[s] + 1)) for s in range(quality.SLOTS)]
+    assert weights == pytest.approx(want, abs=1e-12)
+
+
+def test_repeated_words_of_random_texts(spark):
+    """Few different words, so that runs of all lengths repeat, meet and overlap."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(list("abcd"[: 1 + k % 4]), rng.integers(0, 60))) for k in range(120)]
+    part = [f"w{k}" for k in range(40)]
+    texts += [" ".join(part[:n] + ["-"] * gap + part[:n]) for n in (7, 8, 9, 15, 40) for gap in (0, 1)]
+    docs = spark.createDataFrame([(k, text) for k, text in enumerate(texts)], "doc_id long, text string")
+    found = quality.quality_rules(docs, docs.selectExpr("doc_id", "1 quality"), columns=["doc_id"])
+    assert found.select("row.*").columns == ["doc_id"]
+    for r in found.collect():
+        words = texts[r["doc_id"]].split()
+        windows = Counter(tuple(words[k : k + 8]) for k in range(len(words) - 7))
+        starts = [k for k in range(len(words) - 7) if windows[tuple(words[k : k + 8])] > 1]
+        assert r["n_repeat_words"] == len({k + j for k in starts for j in range(8)})
