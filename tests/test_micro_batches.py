@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickweave import catalog
-from clickweave.session import streaming_session
+from clickweave.session import BOUNDED_STATE, streaming_session
 from clickweave.sinks.lake import DAYS, Lake, side_by_side
 from clickweave.sources.messages import file_stream
 from clickweave.streaming import ingest, metrics
@@ -100,3 +100,28 @@ def test_a_log_of_one_file_is_streamed_by_all_tasks(spark, tmp_path):
     writer = log.writeStream.foreachBatch(note).trigger(**ONCE)
     writer.option("checkpointLocation", str(tmp_path / "checkpoint")).start().awaitTermination()
     assert tasks == [4]
+
+
+def _ingested(spark, tmp_path, lake, seconds):
+    """A run of ingest from its checkpoint, after one more file of the same 200 ids and a new one."""
+    rows = [event(f"e{i}", 1) for i in range(200)] + [event(f"n{seconds}", 1)]
+    path = str(tmp_path / "topic")
+    messages = messages_df(spark, [message(r, i, seconds) for i, r in enumerate(rows)])
+    messages.coalesce(1).write.mode("append").parquet(path)
+    session = streaming_session(spark)
+    before = {key: session.conf.get(key, None) for key in BOUNDED_STATE}
+    checkpoint = str(tmp_path / "checkpoint")
+    query = ingest.start_ingest(file_stream(session, path), lake, checkpoint, trigger=ONCE)
+    query.awaitTermination()
+    assert before == {key: session.conf.get(key, None) for key in BOUNDED_STATE}
+    return query.lastProgress["stateOperators"][0]
+
+
+def test_ids_of_ingest_leave_memory_when_a_batch_is_committed(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"), DAYS)
+    state = _ingested(spark, tmp_path, lake, 100)
+    assert state["numRowsTotal"] == 201
+    # Not committed to a file, they would be in the stores' write buffers.
+    assert state["customMetrics"]["rocksdbSstFileSize"] > 0
+    state = _ingested(spark, tmp_path, lake, 200)
+    assert state["numRowsTotal"] == 202 and lake.read(spark, "silver").count() == 202
