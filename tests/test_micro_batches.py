@@ -1,6 +1,7 @@
 """What micro-batches write, and in how many files and tasks."""
 
 import threading
+from contextlib import nullcontext
 from pathlib import Path
 
 import pytest
@@ -125,3 +126,14 @@ def test_ids_of_ingest_leave_memory_when_a_batch_is_committed(spark, tmp_path):
     assert state["customMetrics"]["rocksdbSstFileSize"] > 0
     state = _ingested(spark, tmp_path, lake, 200)
     assert state["numRowsTotal"] == 202 and lake.read(spark, "silver").count() == 202
+
+
+def test_ids_kept_before_state_was_bounded_are_known(spark, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path / "lake"), DAYS)
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "bounded_state", lambda session: nullcontext())
+        state = _ingested(spark, tmp_path, lake, 100)
+    assert state["customMetrics"]["rocksdbSstFileSize"] == 0
+    state = _ingested(spark, tmp_path, lake, 200)
+    assert state["customMetrics"]["rocksdbSstFileSize"] > 0
+    assert state["numRowsTotal"] == 202 and lake.read(spark, "silver").count() == 202
